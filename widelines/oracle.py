@@ -161,5 +161,11 @@ w_catalog AS (
 
 
 def with_ctes(body: str) -> str:
-    """Prefix a query body with the source and wide-table CTEs."""
-    return "WITH" + SOURCES_CTE + "," + WIDE_CTE + "\n" + body.strip() + "\n"
+    """Prefix a query body with the source and wide-table CTEs.
+
+    A body with its own ``WITH`` list has its CTEs appended to ours.
+    """
+    body = body.strip()
+    if body[:5].upper() == "WITH ":
+        return "WITH" + SOURCES_CTE + "," + WIDE_CTE + ",\n" + body[5:] + "\n"
+    return "WITH" + SOURCES_CTE + "," + WIDE_CTE + "\n" + body + "\n"
