@@ -24,3 +24,16 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when its row count is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+_PATH_PROBES: dict[tuple[str, int], bool] = {}
+
+
+def broadcast_if_bounded_path(df: DataFrame, path: str,
+                              max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """As ``broadcast_if_bounded`` for a frame read from immutable input ``path``:
+    the probe runs once per path and bound in this process."""
+    key = (path, max_rows)
+    if key not in _PATH_PROBES:
+        _PATH_PROBES[key] = is_bounded(df, max_rows)
+    return F.broadcast(df) if _PATH_PROBES[key] else df

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS
 from widelines.sources.model import Sources
 
 CATALOG_COLUMNS = [
@@ -23,14 +23,14 @@ CATALOG_COLUMNS = [
 
 def service_parts_catalog(src: Sources, ordered: bool = True,
                           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    service = broadcast_if_bounded(
+    service = src.broadcast_if_small(
         src.service.select("serviceid", "service", "category", "labor_minutes", "labor_cost"),
-        max_broadcast_rows)
-    parts = broadcast_if_bounded(
+        ("service",), max_broadcast_rows)
+    parts = src.broadcast_if_small(
         src.auto_parts.select("sku", F.col("name").alias("part_name"),
                               F.col("description").alias("part_description"),
                               F.col("price").alias("part_unit_price"), "vendor"),
-        max_broadcast_rows)
+        ("auto_parts",), max_broadcast_rows)
     parts_cost = F.col("parts_quantity_required") * F.col("part_unit_price")
     out = (src.service_parts
            .select("serviceid", "sku", F.col("quantity").alias("parts_quantity_required"))

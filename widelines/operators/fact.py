@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS
 from widelines.sources.model import Sources
 
 FACT_COLUMNS = [
@@ -51,7 +51,8 @@ def orders_with_customers(src: Sources, max_broadcast_rows: int = DEFAULT_MAX_BR
     otherwise both sides shuffle on ``customer_id`` and AQE splits a hot
     customer's partition.
     """
-    customers = broadcast_if_bounded(src.customers.select(*CUSTOMER_COLUMNS), max_broadcast_rows)
+    customers = src.broadcast_if_small(src.customers.select(*CUSTOMER_COLUMNS), ("customers",),
+                                       max_broadcast_rows)
     orders = src.sales_order.select(*(order_columns or ORDER_COLUMNS))
     return orders.join(customers, "customer_id", "inner")
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS
 from widelines.functions.money import safe_unit_price
 from widelines.functions.text import customer_name
 from widelines.operators.fact import orders_with_customers
@@ -60,7 +60,7 @@ def service_line_shape(services: DataFrame) -> DataFrame:
     )
 
 
-def item_dimension(src: Sources) -> DataFrame:
+def item_dimension(src: Sources, kinds: tuple[str, ...] = (PART, SERVICE)) -> DataFrame:
     """Parts and services under one key (line_item_type, item_code)."""
     parts = src.auto_parts.select(
         F.lit(PART).alias("line_item_type"), F.col("sku").alias("item_code"),
@@ -70,6 +70,10 @@ def item_dimension(src: Sources) -> DataFrame:
         F.lit(SERVICE).alias("line_item_type"), F.col("serviceid").alias("item_code"),
         F.col("service").alias("item_name"), F.col("category").alias("item_description"),
         _null("string").alias("vendor"))
+    if kinds == (PART,):
+        return parts
+    if kinds == (SERVICE,):
+        return services
     return parts.unionByName(services)
 
 
@@ -95,7 +99,8 @@ def sales_order_line_items(src: Sources, kinds: tuple[str, ...] = (PART, SERVICE
     for other in shapes[1:]:
         lines = lines.unionByName(other)
 
-    items = broadcast_if_bounded(item_dimension(src), max_broadcast_rows)
+    items = src.broadcast_if_small(item_dimension(src, kinds), ("auto_parts", "service"),
+                                   max_broadcast_rows)
     return (lines
             .join(order_context(src, max_broadcast_rows), "order_id", "inner")
             .join(items, ["line_item_type", "item_code"], "inner")

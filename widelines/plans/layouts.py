@@ -58,13 +58,23 @@ LAYOUTS = {
 
 
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
-    """Add derived partition columns, range-shuffle on (partitions, sort key), sort."""
+    """Add derived partition columns, place rows, sort each task's rows.
+
+    Partitioned tables use a REBALANCE on the partition columns: rows of one
+    partition folder meet in one task (few, large files), and AQE splits a
+    folder that is larger than the advisory size (a month holding a third of
+    all orders is written by many tasks) and merges small ones.  Tables
+    without partition columns that must be stored in key order use a range
+    shuffle on the sort key (a sample of the keys sets the bounds).
+    """
     for name, expr in layout.derived.items():
         df = df.withColumn(name, F.expr(expr))
+    if layout.partition_by:
+        df = df.hint("rebalance", *layout.partition_by)
+    elif layout.sort_by:
+        df = df.repartitionByRange(*layout.sort_by)
     keys = [*layout.partition_by, *layout.sort_by]
-    if keys:
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return df
+    return df.sortWithinPartitions(*keys) if keys else df
 
 
 def writer_options(layout: Layout) -> dict[str, str]:

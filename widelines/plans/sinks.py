@@ -1,15 +1,17 @@
 """Sinks: versioned all-or-nothing tables and COPY-compatible CSV export.
 
-A table lives at ``<root>/<table>/``:
+Tables live below a root folder:
 
-* ``v=<version>/``   one complete Parquet dataset per build;
-* ``_current/``      a one-row text dataset naming the live version.
+* ``<root>/<table>/v=<version>/``  one complete Parquet dataset per build;
+* ``<root>/_publish/``            an append-only log of (table, version, seq).
 
 A build writes a *new* version folder (Spark's commit protocol makes the
-files visible only when the job commits) and only then rewrites the pointer,
-so a failed or half-finished build leaves the previous version readable,
-and a job never overwrites a path it is reading.  Re-running a build gives
-a new version with the same rows.
+files visible only when the job commits) and only then appends a publish
+record.  One append publishes any number of tables together, so the three
+wide tables switch as one; a failed or half-finished build leaves the
+previous versions live, nothing is ever overwritten in place, and a job
+never writes a path it is reading.  Re-running a build gives a new version
+with the same rows.
 """
 
 from __future__ import annotations
@@ -92,14 +94,34 @@ def write_version(df: DataFrame, root: str, table: str, version: str | None = No
     return WriteResult(table, path, version, rows)
 
 
+PUBLISH_LOG = "_publish"
+_PUBLISH_SCHEMA = T.StructType([
+    T.StructField("table", T.StringType()),
+    T.StructField("version", T.StringType()),
+    T.StructField("seq", T.StringType()),
+])
+
+
+def publish_versions(spark: SparkSession, root: str, versions: dict[str, str]) -> None:
+    """Make ``versions`` ({table: version}) live, all in one append."""
+    seq = new_version()
+    rows = [(table, version, seq) for table, version in versions.items()]
+    (spark.createDataFrame(rows, _PUBLISH_SCHEMA).coalesce(1)
+     .write.mode("append").json(f"{root.rstrip('/')}/{PUBLISH_LOG}"))
+
+
 def publish_version(spark: SparkSession, root: str, table: str, version: str) -> None:
-    """Repoint ``_current``; readers switch on their next read."""
-    pointer = spark.createDataFrame([(version,)], T.StructType([T.StructField("value", T.StringType())]))
-    pointer.coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/{table}/_current")
+    publish_versions(spark, root, {table: version})
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> str:
-    return spark.read.text(f"{root.rstrip('/')}/{table}/_current").first()["value"]
+    """Latest published version of ``table`` (the log is tiny: one row per publish)."""
+    row = (spark.read.schema(_PUBLISH_SCHEMA).json(f"{root.rstrip('/')}/{PUBLISH_LOG}")
+           .where(F.col("table") == table)
+           .orderBy(F.col("seq").desc()).select("version").first())
+    if row is None:
+        raise FileNotFoundError(f"no published version of {table} under {root}")
+    return row["version"]
 
 
 def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None

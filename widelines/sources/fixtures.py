@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widelines.functions.joins import broadcast_if_bounded
+from widelines.functions.joins import broadcast_if_bounded_path
 from widelines.functions.money import safe_unit_price
 from widelines.functions.text import pad_code
 from widelines.sources.model import Sources
@@ -46,13 +46,14 @@ def _case(col: str, mapping: dict[str, str], default: str):
     return expr.otherwise(default)
 
 
-def customers_from(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    geo = nation.join(broadcast_if_bounded(region, CODE_TABLE_MAX_ROWS),
+def customers_from(customer: DataFrame, nation: DataFrame, region: DataFrame,
+                   sf_dir: str = "") -> DataFrame:
+    geo = nation.join(broadcast_if_bounded_path(region, f"{sf_dir}/region", CODE_TABLE_MAX_ROWS),
                       nation.n_regionkey == region.r_regionkey)
     key = F.col("c_custkey")
     return (
-        customer.join(broadcast_if_bounded(geo.select("n_nationkey", "n_name", "r_name"),
-                                           CODE_TABLE_MAX_ROWS),
+        customer.join(broadcast_if_bounded_path(geo.select("n_nationkey", "n_name", "r_name"),
+                                                f"{sf_dir}/nation+region", CODE_TABLE_MAX_ROWS),
                       customer.c_nationkey == F.col("n_nationkey"))
         .select(
             key.alias("customer_id"),
@@ -133,9 +134,10 @@ def auto_parts_from(part: DataFrame) -> DataFrame:
     )
 
 
-def service_from(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+def service_from(supplier: DataFrame, nation: DataFrame, sf_dir: str = "") -> DataFrame:
     return supplier.join(
-        broadcast_if_bounded(nation.select("n_nationkey", "n_name"), CODE_TABLE_MAX_ROWS),
+        broadcast_if_bounded_path(nation.select("n_nationkey", "n_name"), f"{sf_dir}/nation",
+                                  CODE_TABLE_MAX_ROWS),
         supplier.s_nationkey == F.col("n_nationkey"),
     ).select(
         pad_code("SVC-", "s_suppkey", 6).alias("serviceid"),
@@ -146,11 +148,18 @@ def service_from(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def service_parts_from(lines: DataFrame) -> DataFrame:
-    """Required quantity per (service, part): partial aggregation map-side."""
-    return lines.groupBy("serviceid", "sku").agg(
-        F.sum("quantity").cast("int").alias("quantity")
-    )
+def service_parts_from(lineitem: DataFrame) -> DataFrame:
+    """Required quantity per (service, part).
+
+    Grouped on the integer keys (cheap hashing, map-side partial
+    aggregation) and formatted afterwards; the code formats are one-to-one
+    while keys fit their width (8 digits for parts, 6 for suppliers).
+    """
+    return (lineitem.groupBy("l_suppkey", "l_partkey")
+            .agg(F.sum(F.col("l_quantity").cast("int")).cast("int").alias("quantity"))
+            .select(pad_code("SVC-", "l_suppkey", 6).alias("serviceid"),
+                    pad_code("SKU-", "l_partkey", 8).alias("sku"),
+                    "quantity"))
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
@@ -159,11 +168,11 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
            for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
     lines = lines_from(raw["lineitem"])
     return Sources(
-        customers=customers_from(raw["customer"], raw["nation"], raw["region"]),
+        customers=customers_from(raw["customer"], raw["nation"], raw["region"], sf_dir),
         sales_order=sales_order_from(raw["orders"]),
         sales_order_parts=parts_from(lines),
         sales_order_services=services_from(lines),
         auto_parts=auto_parts_from(raw["part"]),
-        service=service_from(raw["supplier"], raw["nation"]),
-        service_parts=service_parts_from(lines),
+        service=service_from(raw["supplier"], raw["nation"], sf_dir),
+        service_parts=service_parts_from(raw["lineitem"]),
     )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from widelines.functions.joins import is_bounded
 
 
 @dataclass(frozen=True)
@@ -16,12 +19,26 @@ class Sources:
     auto_parts: DataFrame
     service: DataFrame
     service_parts: DataFrame
+    # size-probe results, keyed by (source names, row bound); shared by builders
+    probes: dict = field(default_factory=dict, compare=False, repr=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "probes"}
 
     def with_tables(self, **tables: DataFrame) -> "Sources":
-        return replace(self, **tables)
+        kept = {k: v for k, v in self.probes.items() if not set(k[0]) & set(tables)}
+        return replace(self, **tables, probes=kept)
+
+    def broadcast_if_small(self, df: DataFrame, depends_on: tuple[str, ...],
+                           max_rows: int) -> DataFrame:
+        """Broadcast ``df`` (derived from ``depends_on``) when its rows are proven few.
+
+        The probe runs once per bundle and bound; every builder reuses it.
+        """
+        key = (tuple(sorted(depends_on)), max_rows)
+        if key not in self.probes:
+            self.probes[key] = is_bounded(df, max_rows)
+        return F.broadcast(df) if self.probes[key] else df
 
     def register_views(self, prefix: str = "") -> None:
         """Expose every source as a temporary view (for SQL users)."""

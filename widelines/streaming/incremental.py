@@ -47,7 +47,7 @@ def _merge(current: DataFrame, recomputed: DataFrame, src: Sources, order_ids: D
     kept = current.join(keys, "order_id", "left_anti")
     if drop_deleted:
         kept = kept.join(src.sales_order.select("order_id"), "order_id", "left_semi")
-    return kept.unionByName(recomputed.select(*current.columns))
+    return kept.unionByName(recomputed).select(*current.columns)
 
 
 def refresh_fact(src: Sources, current_fact: DataFrame, order_ids: DataFrame,
