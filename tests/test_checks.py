@@ -115,3 +115,31 @@ def test_table_row_count_minus_one_when_missing(spark, scratch):
     assert sinks.table_row_count(spark, scratch, "no_such_table") == -1
     sinks.write_version(spark.range(0).withColumn("x", F.lit(1)), scratch, "empty")
     assert sinks.table_row_count(spark, scratch, "empty") == 0
+
+
+def test_reconciliation_equals_individual_checks(spark):
+    """The pipeline's two-pass reconciliation gives exactly the individual checks."""
+    src = _clean(spark)
+    fact, lines = sales_order_fact(src), sales_order_line_items(src)
+    f_rows, l_rows = fact.collect(), lines.collect()
+    bad_fact = spark.createDataFrame(
+        f_rows + [f_rows[0].asDict() | {"order_id": 77}]
+        + [f_rows[0].asDict() | {"customer_id": 55, "order_id": 78}]
+        + [f_rows[1].asDict() | {"order_id": None, "total_amount": None}]
+        + [f_rows[1].asDict() | {"services_line_count": 9}], SALES_ORDER_FACT)
+    bad_lines = spark.createDataFrame(
+        l_rows + [l_rows[0].asDict() | {"order_id": None, "quantity": -2}]
+        + [l_rows[0].asDict() | {"unit_price": Decimal("-1.00"), "line_total": None}],
+        lines.schema)
+    # source order 1 missing from the fact
+    bad_fact = bad_fact.where("order_id IS NULL OR order_id <> 1")
+    expected = _as_dict(checks.all_issue_checks(src, bad_fact, bad_lines))
+    f_row = checks.reconcile_fact(src, bad_fact).first()
+    s_row = checks.reconcile_source(src, bad_fact).first()
+    got = checks.reconciled_issues(f_row, s_row, checks.reconcile_lines(src, bad_lines).first())
+    assert got == expected
+    assert sum(got.values()) > 0
+    fin = checks.financial_check(src, bad_fact).first()
+    assert (s_row.source_total, f_row.denormalized_total) == (fin.source_total,
+                                                              fin.denormalized_total)
+    assert checks.reconciled_financial_ok(f_row, s_row) is fin.passed is False

@@ -9,10 +9,12 @@ position.  Every group that looks at one table does so in a single pass
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from widelines.functions.money import within_tolerance
+from widelines.functions.money import TOLERANCE, within_tolerance
 from widelines.operators.fact import line_metrics
 from widelines.sources.model import Sources
 
@@ -150,7 +152,7 @@ def source_line_counts(src: Sources) -> DataFrame:
     services = line_metrics(
         src.sales_order_services.select("order_id", "line_item_id", "quantity"), "services")
     zero = F.lit(0).cast("bigint")
-    return (src.sales_order.select("order_id")
+    return (src.sales_order.select("order_id").distinct()
             .join(parts, "order_id", "left")
             .join(services, "order_id", "left")
             .select("order_id",
@@ -205,3 +207,89 @@ def all_issue_checks(src: Sources, fact: DataFrame, lines: DataFrame) -> DataFra
     return _union_all([orphan_checks(src, fact, lines), missing_from_fact(src, fact),
                        null_checks(fact, lines), negative_checks(lines),
                        count_mismatch(src, fact)])
+
+
+# ------------------------------------------------------------ reconciliation passes
+# The pipeline runs every check above on each build.  Instead of one scan or
+# join per check, it reconciles the wide tables against their sources in
+# three joins, each followed by one aggregate:
+#
+# * fact side: the fact (with a customer-found marker) LEFT JOIN the source
+#   orders carrying their recomputed line counts: orphans, missing customers,
+#   NULLs, count mismatches and the fact's revenue;
+# * source side: the source orders LEFT JOIN the fact's distinct keys: orders
+#   missing from the fact and the source revenue, every source row once;
+# * lines: the lines LEFT JOIN the source order keys: orphans, NULLs, negatives.
+#
+# The counts equal the individual checks, NULL keys included (a NULL key
+# matches nothing, as with NOT EXISTS), and duplicated rows on either side
+# are counted as often as the individual checks count them.
+
+FACT_COUNT_LABELS = [ORPHAN_LABELS[0], ORPHAN_LABELS[1], NULL_LABELS[0], NULL_LABELS[1],
+                     NULL_LABELS[2], MISMATCH_LABELS[0], MISMATCH_LABELS[1]]
+SOURCE_COUNT_LABELS = ["Source orders missing from sales_order_fact"]
+LINE_COUNT_LABELS = [ORPHAN_LABELS[2], NULL_LABELS[3], NULL_LABELS[4], NEGATIVE_LABELS[0],
+                     NEGATIVE_LABELS[1]]
+
+
+def reconcile_fact(src: Sources, fact: DataFrame,
+                   max_broadcast_rows: int = 200_000) -> DataFrame:
+    """One row: the fact-level issue counts and the fact's revenue total."""
+    customers = src.broadcast_if_small(
+        src.customers.select("customer_id", F.lit(True).alias("_customer_found")),
+        ("customers",), max_broadcast_rows)
+    counts = source_line_counts(src).withColumn("_in_source", F.lit(True))
+    j = (fact.select("order_id", "customer_id", "total_amount", "parts_line_count",
+                     "services_line_count")
+         .join(customers, "customer_id", "left")
+         .join(counts, "order_id", "left"))
+    found = F.col("_in_source").isNotNull()
+    return j.agg(
+        F.count_if(~found).alias("c0"),
+        F.count_if(F.col("_customer_found").isNull()).alias("c1"),
+        F.count_if(F.col("order_id").isNull()).alias("c2"),
+        F.count_if(F.col("customer_id").isNull()).alias("c3"),
+        F.count_if(F.col("total_amount").isNull()).alias("c4"),
+        F.count_if(found & (F.col("parts_count") != F.col("parts_line_count"))).alias("c5"),
+        F.count_if(found & (F.col("services_count") != F.col("services_line_count")))
+        .alias("c6"),
+        F.sum("total_amount").alias("denormalized_total"),
+    )
+
+
+def reconcile_source(src: Sources, fact: DataFrame) -> DataFrame:
+    """One row: source orders missing from the fact and the source revenue total."""
+    keys = fact.select("order_id").distinct().withColumn("_in_fact", F.lit(True))
+    j = src.sales_order.select("order_id", "total_amount").join(keys, "order_id", "left")
+    return j.agg(
+        F.count_if(F.col("_in_fact").isNull()).alias("c0"),
+        F.sum("total_amount").alias("source_total"),
+    )
+
+
+def reconcile_lines(src: Sources, lines: DataFrame) -> DataFrame:
+    """One row: the line-level issue counts."""
+    keys = src.sales_order.select("order_id").distinct().withColumn("_order_found", F.lit(True))
+    j = lines.select("order_id", "line_total", "quantity", "unit_price").join(
+        keys, "order_id", "left")
+    return j.agg(
+        F.count_if(F.col("_order_found").isNull()).alias("c0"),
+        F.count_if(F.col("order_id").isNull()).alias("c1"),
+        F.count_if(F.col("line_total").isNull()).alias("c2"),
+        F.count_if(F.col("quantity") < 0).alias("c3"),
+        F.count_if(F.col("unit_price") < 0).alias("c4"),
+    )
+
+
+def reconciled_issues(fact_row, source_row, lines_row) -> dict[str, int]:
+    """Labelled issue counts from the three reconciliation rows."""
+    out = {}
+    for labels, row in ((FACT_COUNT_LABELS, fact_row), (SOURCE_COUNT_LABELS, source_row),
+                        (LINE_COUNT_LABELS, lines_row)):
+        out.update({label: int(row[f"c{i}"]) for i, label in enumerate(labels)})
+    return out
+
+
+def reconciled_financial_ok(fact_row, source_row) -> bool:
+    s, d = source_row["source_total"], fact_row["denormalized_total"]
+    return s is not None and d is not None and abs(s - d) < Decimal(TOLERANCE)
