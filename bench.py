@@ -7,12 +7,15 @@ Runs on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 
 Each timing is the median of ``$BENCH_REPEATS`` warm runs (one warm-up run
 first; the JVM start is excluded).  Builds are timed with Spark's ``noop``
-sink, so they measure the full plan without storage cost; the pipeline and
-the export write real Parquet and CSV below a fresh scratch folder.
+sink, so they measure the full plan without storage cost; ``checks`` and
+``csv_export`` run the pipeline's reconciliation and export over stored
+versions; ``pipeline`` is the whole run (build and write with layouts,
+checks, publish, CSV export) below a fresh scratch folder.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
 import re
@@ -20,6 +23,7 @@ import statistics
 import sys
 import tempfile
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,6 +31,7 @@ from widelines.operators import checks, reports  # noqa: E402
 from widelines.operators.catalog import service_parts_catalog  # noqa: E402
 from widelines.operators.fact import sales_order_fact  # noqa: E402
 from widelines.operators.line_items import sales_order_line_items  # noqa: E402
+from widelines.plans.layouts import write_layout  # noqa: E402
 from widelines.plans.pipeline import run_pipeline  # noqa: E402
 from widelines.plans.sinks import export_csv  # noqa: E402
 from widelines.session import build_session  # noqa: E402
@@ -55,11 +60,24 @@ def main() -> None:
     def catalog():
         noop(service_parts_catalog(src))
 
+    # stored versions for the checks and the export (written once, untimed)
+    stored_root = f"{scratch}/stored"
+    stored = {}
+    for name, df in (("sales_order_fact", sales_order_fact(src)),
+                     ("sales_order_line_items", sales_order_line_items(src)),
+                     ("service_parts_catalog", service_parts_catalog(src, ordered=False))):
+        w = write_layout(df, stored_root, name)
+        stored[name] = spark.read.parquet(w.path).drop("order_year", "order_month")
+    pool = ThreadPoolExecutor(max_workers=4)
+
     def check_pass():
-        f, li = sales_order_fact(src), sales_order_line_items(src)
-        checks.all_issue_checks(src, f, li).collect()
-        checks.financial_check(src, f).collect()
-        checks.line_totals(src, li).collect()
+        f, li = stored["sales_order_fact"], stored["sales_order_line_items"]
+        jobs = [pool.submit(lambda: checks.reconcile_fact(src, f).first()),
+                pool.submit(lambda: checks.reconcile_source(src, f).first()),
+                pool.submit(lambda: checks.reconcile_lines(src, li).first())]
+        rows = [j.result() for j in jobs]
+        issues = checks.reconciled_issues(*rows)
+        assert not any(issues.values()) and checks.reconciled_financial_ok(rows[0], rows[1])
 
     def top10():
         reports.service_cost_top(service_parts_catalog(src, ordered=False)).collect()
@@ -69,11 +87,12 @@ def main() -> None:
     def export():
         counter["n"] += 1
         out = f"{scratch}/export{counter['n']}"
-        for name, df in (("sales_order_fact", sales_order_fact(src)),
-                         ("sales_order_line_items", sales_order_line_items(src)),
-                         ("service_parts_catalog", service_parts_catalog(src))):
-            ok, _ = export_csv(df, out, name, __import__("datetime").date(2025, 12, 10))
-            assert ok, name
+        jobs = []
+        for name, df in stored.items():
+            if name == "service_parts_catalog":
+                df = df.orderBy("serviceid", "sku")
+            jobs.append(pool.submit(export_csv, df, out, name, datetime.date(2025, 12, 10)))
+        assert all(j.result()[0] for j in jobs)
 
     def pipeline():
         counter["n"] += 1

@@ -23,6 +23,11 @@ SCALE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Broadcast policy: never from a static size estimate (file sizes can
+    # hide a 10x expansion); only explicit broadcasts behind a row-count
+    # probe, or AQE's run-time switch from measured shuffle output sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
@@ -49,19 +54,38 @@ def build_session(
     return spark
 
 
+_FALLBACK_DIR: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, setting one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    """Return the session's shared checkpoint folder, setting one only if unset.
+
+    Order: the SparkContext's checkpoint folder, then ``spark.checkpoint.dir``
+    from the configuration, then (local tests only) a private temporary
+    folder.  Sessions without a SparkContext handle (Spark Connect) use the
+    configuration value.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+        else:
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="widelines-ckpt-", dir="/tmp"))
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        # Local tests only: the cluster always names a shared folder.
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="widelines-ckpt-", dir="/tmp"))
-    return sc.getCheckpointDir()
+        return configured
+    key = id(spark)
+    if key not in _FALLBACK_DIR:
+        _FALLBACK_DIR[key] = tempfile.mkdtemp(prefix="widelines-ckpt-", dir="/tmp")
+    return _FALLBACK_DIR[key]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
