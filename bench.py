@@ -89,8 +89,6 @@ def main() -> None:
         out = f"{scratch}/export{counter['n']}"
         jobs = []
         for name, df in stored.items():
-            if name == "service_parts_catalog":
-                df = df.orderBy("serviceid", "sku")
             jobs.append(pool.submit(export_csv, df, out, name, datetime.date(2025, 12, 10)))
         assert all(j.result()[0] for j in jobs)
 
