@@ -77,9 +77,14 @@ def sales_order_fact(src: Sources, true_quantities: bool = False,
                          "parts")
     services = line_metrics(
         src.sales_order_services.select("order_id", "line_item_id", "quantity"), "services")
-    joined = (orders_with_customers(src, max_broadcast_rows)
+    # order-keyed joins first (co-partitioned on order_id, shuffle-free when the
+    # sources are bucketed on it), the customer last
+    customers = src.broadcast_if_small(src.customers.select(*CUSTOMER_COLUMNS), ("customers",),
+                                       max_broadcast_rows)
+    joined = (src.sales_order.select(*ORDER_COLUMNS)
               .join(parts, "order_id", "left")
-              .join(services, "order_id", "left"))
+              .join(services, "order_id", "left")
+              .join(customers, "customer_id", "inner"))
 
     zero = F.lit(0).cast("bigint")
     p_rows = F.coalesce(F.col("parts_rows"), zero)
