@@ -1,10 +1,13 @@
 """Broadcast only behind a proven size bound.
 
-``is_bounded`` runs ``limit(n + 1).count()``: Spark stops reading as soon as
-``n + 1`` rows are found, so the probe costs at most ``n + 1`` rows of work
-however large the table is.  A side that passes is broadcast; any other side
-falls back to the shuffle join that Catalyst plans (and AQE may still turn
-into a broadcast at run time, from measured sizes).
+``is_bounded`` collects ``limit(n + 1)`` of a one-column constant.  A
+collected limit runs incrementally (one partition first, then 4x more each
+round, until ``n + 1`` rows are found), so for a large table the probe
+usually reads part of a single partition, and never more than ``n + 1``
+one-byte rows reach the driver.  (``limit(n + 1).count()`` would start a
+task on every partition of the input.)  A side that passes is broadcast; any
+other side falls back to the shuffle join that Catalyst plans, which AQE may
+still turn into a broadcast at run time from measured sizes.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    probe = df.select(F.lit(True).alias("_row")).limit(max_rows + 1)
+    return len(probe.collect()) <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
