@@ -1,4 +1,4 @@
-"""Checks: literal cases of the reference's own tests and planted defects."""
+"""Checks: literal cases of the original job's own tests and planted defects."""
 
 from decimal import Decimal
 
@@ -95,8 +95,8 @@ def _totals_check(spark, source, denorm):
     return checks.financial_check(src, d).first().passed
 
 
-def test_reference_tolerance_cases(spark):
-    # literal cases of the reference's tests: equal, 50,000 off, inside 0.01
+def test_original_tolerance_cases(spark):
+    # literal cases of the original job's tests: equal, 50,000 off, inside 0.01
     assert _totals_check(spark, ["1000000.00"], ["1000000.00"]) is True
     assert _totals_check(spark, ["1000000.00"], ["950000.00"]) is False
     assert _totals_check(spark, ["1000000.005"], ["1000000.001"]) is True

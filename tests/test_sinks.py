@@ -77,8 +77,8 @@ def test_unpublished_version_is_invisible_until_published(spark, scratch):
     assert sinks.read_current(spark, scratch, "b").count() == 4
 
 
-def test_reference_csv_literal(spark, scratch):
-    """The reference's own export test: id,name,amount with 2 rows, dated name."""
+def test_original_csv_literal(spark, scratch):
+    """The original job's own export test: id,name,amount with 2 rows, dated name."""
     schema = "id int, name string, amount decimal(10,2)"
     df = spark.createDataFrame([(1, "Test", Decimal("100.50")), (2, "Test2", Decimal("200.75"))],
                                schema)

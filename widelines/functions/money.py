@@ -10,16 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the reference compares two money totals against this bound.
+# Fixed value: the original job compares two money totals against this bound.
 TOLERANCE = "0.01"
 
 
-def money(col: Column | str, precision: int = 12, scale: int = 2) -> Column:
-    """Cast to an exact decimal money type."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(f"decimal({precision},{scale})")
-
-
 def safe_unit_price(line_total: Column | str, quantity: Column | str) -> Column:
     """``line_total / NULLIF(quantity, 0)`` rounded to ``decimal(10,2)``.
 
@@ -31,11 +25,6 @@ def safe_unit_price(line_total: Column | str, quantity: Column | str) -> Column:
     return (total / F.nullif(qty, F.lit(0))).cast("decimal(10,2)")
 
 
-def sum_money(col: Column | str) -> Column:
-    """``SUM`` of a money column; decimal(p,2) sums stay decimal(p+10,2)."""
-    return F.sum(col)
-
-
 def within_tolerance(a: Column | str, b: Column | str, tolerance: str = TOLERANCE) -> Column:
     """``abs(a - b) < tolerance`` in decimals; NULL on either side is False."""
     ca = F.col(a) if isinstance(a, str) else a

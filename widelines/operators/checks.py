@@ -18,7 +18,7 @@ from widelines.functions.money import TOLERANCE, within_tolerance
 from widelines.operators.fact import line_metrics
 from widelines.sources.model import Sources
 
-# Check labels of the reference report, in its order.
+# Check labels of the original job's report, in its order.
 ROW_COUNT_LABELS = [
     "Source: sales_order",
     "Source: sales_order_parts",

@@ -153,7 +153,7 @@ def export_csv(df: DataFrame, out_dir: str, table: str, run_date: _dt.date,
     """SNK-03: COPY-compatible CSV, one folder of part files written in parallel.
 
     Returns ``(ok, path)``; a failure returns ``(False, "")`` and is logged by
-    the caller, as the reference does.
+    the caller, as the original job does.
     """
     path = f"{out_dir.rstrip('/')}/{export_name(table, run_date)}.csv"
     try:
