@@ -397,6 +397,14 @@ def q_val_orphans(spark, sf_dir):
     return checks.orphan_checks(src, sales_order_fact(src), sales_order_line_items(src))
 
 
+@register("val_missing_from_fact", """
+SELECT 'Source orders missing from sales_order_fact' AS check_name, count(*) AS issue_count
+FROM src_sales_order o WHERE NOT EXISTS (SELECT 1 FROM w_fact f WHERE f.order_id = o.order_id)""")
+def q_val_missing_from_fact(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return checks.missing_from_fact(src, sales_order_fact(src))
+
+
 @register("val_null_checks", """
 SELECT 'sales_order_fact: NULL order_id' AS check_name, count(*) FILTER (WHERE order_id IS NULL)
        AS issue_count FROM w_fact
