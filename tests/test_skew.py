@@ -48,3 +48,29 @@ def test_hot_order_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_month_folder_is_written_by_several_tasks(spark, scratch):
+    """REBALANCE lets AQE split a layout folder holding a third of all rows."""
+    import datetime as dt
+    import os
+
+    from widelines.plans.layouts import write_layout
+
+    hot = dt.datetime(2025, 3, 15)
+    orders = [order(o, 1 + o % 20, when=hot if o % 3 == 0 else dt.datetime(2024, 1 + o % 12, 1))
+              for o in range(1, 3001)]
+    src = make_sources(spark, customers=[customer(c) for c in range(1, 21)], orders=orders)
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        w = write_layout(sales_order_fact(src), scratch, "sales_order_fact")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    folder = os.path.join(w.path.removeprefix("file:"), "order_year=2025", "order_month=3")
+    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert w.row_count == 3000 and len(files) > 1
