@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,10 +89,13 @@ def _layout_root(spark, sf_dir) -> str:
         if key not in _LAYOUT_ROOTS:
             root = scratch_path(spark, "layouts")
             src = _src(spark, sf_dir)
-            layouts.write_layout(sales_order_fact(src), root, "sales_order_fact")
-            layouts.write_layout(sales_order_line_items(src), root, "sales_order_line_items")
-            layouts.write_layout(service_parts_catalog(src, ordered=False), root,
-                                 "service_parts_catalog")
+            plans = {"sales_order_fact": sales_order_fact(src),
+                     "sales_order_line_items": sales_order_line_items(src),
+                     "service_parts_catalog": service_parts_catalog(src, ordered=False)}
+            with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+                for fut in [pool.submit(layouts.write_layout, df, root, name)
+                            for name, df in plans.items()]:
+                    fut.result()
             _LAYOUT_ROOTS[key] = root
         return _LAYOUT_ROOTS[key]
 
