@@ -85,3 +85,16 @@ def test_original_csv_literal(spark, scratch):
     ok, path = sinks.export_csv(df.coalesce(1), scratch, "test_table", dt.date(2025, 12, 10))
     assert ok and os.path.basename(path) == "test_table_20251210.csv"
     assert _read_parts(path) == "id,name,amount\n1,Test,100.50\n2,Test2,200.75\n"
+
+
+def test_concurrent_publishers(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def build(i):
+        return sinks.write_version(spark.range(i + 1), scratch, f"t{i}")
+
+    with ThreadPoolExecutor(4) as pool:
+        results = list(pool.map(build, range(4)))
+    for i, r in enumerate(results):
+        assert sinks.current_version(spark, scratch, f"t{i}") == r.version
+        assert sinks.read_current(spark, scratch, f"t{i}").count() == i + 1

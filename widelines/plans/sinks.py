@@ -3,7 +3,8 @@
 Tables live below a root folder:
 
 * ``<root>/<table>/v=<version>/``  one complete Parquet dataset per build;
-* ``<root>/_publish/``            an append-only log of (table, version, seq).
+* ``<root>/_publish/<seq>/``      an append-only log of (table, version, seq),
+                                   one small dataset per publish.
 
 A build writes a *new* version folder (Spark's commit protocol makes the
 files visible only when the job commits) and only then appends a publish
@@ -103,11 +104,15 @@ _PUBLISH_SCHEMA = T.StructType([
 
 
 def publish_versions(spark: SparkSession, root: str, versions: dict[str, str]) -> None:
-    """Make ``versions`` ({table: version}) live, all in one append."""
+    """Make ``versions`` ({table: version}) live, all in one write.
+
+    Every publish record is its own small dataset below the log folder, so
+    concurrent publishers never share a job's staging folder.
+    """
     seq = new_version()
     rows = [(table, version, seq) for table, version in versions.items()]
     (spark.createDataFrame(rows, _PUBLISH_SCHEMA).coalesce(1)
-     .write.mode("append").json(f"{root.rstrip('/')}/{PUBLISH_LOG}"))
+     .write.mode("errorifexists").json(f"{root.rstrip('/')}/{PUBLISH_LOG}/{seq}"))
 
 
 def publish_version(spark: SparkSession, root: str, table: str, version: str) -> None:
@@ -116,7 +121,8 @@ def publish_version(spark: SparkSession, root: str, table: str, version: str) ->
 
 def current_version(spark: SparkSession, root: str, table: str) -> str:
     """Latest published version of ``table`` (the log is tiny: one row per publish)."""
-    row = (spark.read.schema(_PUBLISH_SCHEMA).json(f"{root.rstrip('/')}/{PUBLISH_LOG}")
+    row = (spark.read.schema(_PUBLISH_SCHEMA).option("recursiveFileLookup", "true")
+           .json(f"{root.rstrip('/')}/{PUBLISH_LOG}")
            .where(F.col("table") == table)
            .orderBy(F.col("seq").desc()).select("version").first())
     if row is None:
