@@ -15,7 +15,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from widelines.schemas import SOURCES
 from widelines.sources.model import Sources
 
 # Tables split on a key; the others are small catalogs read in one slice.
@@ -70,7 +73,12 @@ def read_table_jdbc(spark: SparkSession, opts: JdbcOptions, table: str,
             .option("upperBound", hi + 1).option("numPartitions", num_partitions).load())
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select the pinned columns by name, cast to the pinned types (for example a
+    database ``integer`` key to ``bigint``); a missing column fails here, early."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_sources_jdbc(spark: SparkSession, opts: JdbcOptions, num_partitions: int = 64) -> Sources:
-    names = ("customers", "sales_order", "sales_order_parts", "sales_order_services",
-             "auto_parts", "service", "service_parts")
-    return Sources(**{n: read_table_jdbc(spark, opts, n, num_partitions) for n in names})
+    return Sources(**{name: conform(read_table_jdbc(spark, opts, name, num_partitions), schema)
+                      for name, schema in SOURCES.items()})
