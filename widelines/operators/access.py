@@ -10,6 +10,7 @@ otherwise the semi join shuffles both sides on the key.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,9 @@ def by_probe(df: DataFrame, probe: DataFrame, keys: list[str] | str,
              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Batched lookup: rows of ``df`` whose key appears in ``probe`` (left semi join)."""
     keys = [keys] if isinstance(keys, str) else keys
+    # a NULL key matches nothing in the semi join: drop such probe rows early
     probe_keys = probe.select(*keys).where(
-        F.greatest(*[F.col(k).isNotNull() for k in keys]) if len(keys) > 1
-        else F.col(keys[0]).isNotNull())
+        reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     return df.join(broadcast_if_bounded(probe_keys.distinct(), max_broadcast_rows), keys,
                    "left_semi")
 
