@@ -5,7 +5,6 @@ the same multiset of rows (values rendered canonically, order ignored).
 """
 
 import decimal
-import os
 
 import duckdb
 import pytest
