@@ -10,7 +10,8 @@ first; the JVM start is excluded).  Builds are timed with Spark's ``noop``
 sink, so they measure the full plan without storage cost; ``checks`` and
 ``csv_export`` run the pipeline's reconciliation and export over stored
 versions; ``pipeline`` is the whole run (build and write with layouts,
-checks, publish, CSV export) below a fresh scratch folder.
+checks, publish, CSV export) below a fresh folder under the session's
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -36,7 +36,7 @@ from widelines.operators.line_items import sales_order_line_items  # noqa: E402
 from widelines.plans.layouts import write_layout  # noqa: E402
 from widelines.plans.pipeline import run_pipeline  # noqa: E402
 from widelines.plans.sinks import export_csv  # noqa: E402
-from widelines.session import build_session  # noqa: E402
+from widelines.session import build_session, scratch_path  # noqa: E402
 from widelines.sources.fixtures import fixture_sources  # noqa: E402
 from widelines.streaming.incremental import changed_since, refresh_fact  # noqa: E402
 
@@ -49,9 +49,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    scratch = tempfile.mkdtemp(prefix="widelines-bench-", dir="/tmp")
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
-                          extra={"spark.checkpoint.dir": f"{scratch}/ckpt"})
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8))
+    # below the session's spark.checkpoint.dir (a private folder only when unset)
+    scratch = scratch_path(spark, "bench")
     src = fixture_sources(spark, sf_dir)
 
     def fact():
