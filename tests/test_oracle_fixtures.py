@@ -64,3 +64,15 @@ def test_fact_inflation_matches_survey():
         SELECT count(*) FROM w_fact f JOIN t USING (order_id)
         WHERE f.total_parts_quantity <> t.tp OR f.total_services_quantity <> t.ts""")).fetchone()
     assert differ[0] == 9324
+
+
+def test_every_oracle_runs_in_duckdb():
+    import __spark_entry__ as entry
+
+    con = _duck("sf0.001")
+    for key, sql in entry.oracle_sql().items():
+        cur = con.execute(sql)
+        cols = [d[0] for d in cur.description]
+        rows = cur.fetchall()
+        assert len(cols) == len(set(cols)), key
+        assert rows is not None, key
