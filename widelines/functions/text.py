@@ -13,18 +13,22 @@ def customer_name(first: Column | str = "first_name", last: Column | str = "last
 
 
 def pad_code(prefix: str, key: Column | str, width: int) -> Column:
-    """``prefix || lpad(key, width, '0')``, the code format of the fixture keys."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.concat(F.lit(prefix), F.lpad(k.cast("string"), width, "0"))
+    """``prefix`` and the key, zero-padded to ``width``; a longer key is kept whole, so codes stay one-to-one."""
+    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")))
 
 
-def mask_email(col: Column | str = "email") -> Column:
-    """Keep the domain, replace the local part by a stable SHA-256 prefix."""
+def mask_email(col: Column | str = "email", secret: str = "widelines") -> Column:
+    """Keep the domain, replace the local part by its whole SHA-256, keyed with ``secret``.
+
+    Equal addresses stay equal and different ones different; without the secret the (guessable) local parts
+    cannot be tried out.  Pass a private ``secret`` in production.
+    """
     c = F.col(col) if isinstance(col, str) else col
     return F.when(
         c.isNull(), F.lit(None).cast("string")
     ).otherwise(
-        F.concat(F.substring(F.sha2(F.substring_index(c, "@", 1), 256), 1, 12),
+        F.concat(F.sha2(F.concat(F.lit(f"{secret}:"), F.substring_index(c, "@", 1)), 256),
                  F.lit("@"), F.substring_index(c, "@", -1))
     )
 

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widelines.llm import near_dup, quality
+from widelines.llm import (decontaminate, licenses, line_templates, mixing, near_dup, quality, sharding, token_output,
+                           toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,13 +20,64 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.licences(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"), "n_confirmed", "n_unconfirmed")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_maglev_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.placed(docs, sharding.document_key()).select("doc_id", "slot", "shard")
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.filter(F.transform("_matches", lambda m: m["item"]), F.isnotnull)))
+    return found.select(
+        "doc_id", F.col("_n_words").alias("n_words"), decontaminate.hit_words().alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_templates.drop_recurring(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped",
+                        F.coalesce(F.length("clean_text"), F.lit(0)).cast("long").alias("clean_chars"))
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = token_output.write_blocks(table(spark, sf_dir, "documents"))
+    return token_output.read_documents(blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_source_mixing": op2_source_mixing,
+    "op3_license_scan": op3_license_scan,
+    "op4_url_filter": op4_url_filter,
+    "op5_maglev_sharding": op5_maglev_sharding,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_toxicity": op8_toxicity,
+    "op9_line_templates": op9_line_templates,
+    "op10_token_output": op10_token_output,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -35,7 +87,7 @@ ORACLE = {
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{_WORDS}')) AS l
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS l
   FROM documents),
 p AS (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d),
 s AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS c FROM p),
@@ -60,7 +112,7 @@ WITH RECURSIVE d AS (
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
 sh AS (
   SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 3
-    THEN list_transform(generate_series(1, len(w) - 2), i -> array_to_string(w[i:i + 2], ' '))
+    THEN list_transform(generate_series(1, len(w) - 2), lambda i: array_to_string(w[i:i + 2], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM d),
 z AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS h FROM sh GROUP BY doc_id),
 c AS (SELECT h, min(doc_id) AS rep, any_value(n) AS n FROM z GROUP BY h),
@@ -80,4 +132,64 @@ comp AS (SELECT a AS rep, min(b) AS component FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(comp.component, d.doc_id) AS component_id,
        d.doc_id = coalesce(comp.component, d.doc_id) AS kept
 FROM d LEFT JOIN z ON z.doc_id = d.doc_id LEFT JOIN c ON c.h = z.h LEFT JOIN comp ON comp.rep = c.rep""",
+    "op5_maglev_sharding": f"""
+WITH k AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(text), '')), 1, 15))::BIGINT
+         % {sharding.SLOTS} AS slot FROM documents),
+t AS (SELECT [{", ".join(map(str, sharding.lookup_table()))}] AS shards)
+SELECT doc_id, slot, 'shard-' || lpad(CAST(t.shards[slot + 1] AS VARCHAR), 2, '0') AS shard FROM k, t""",
+    "op6_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM win),
+pos AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, lens)),
+hit AS (SELECT r, pos.n, i, item FROM pos JOIN win ON win.s = pos.s AND win.n = pos.n),
+words AS (SELECT r, count(DISTINCT k) AS n_hit
+          FROM (SELECT DISTINCT r, unnest(generate_series(i, i + n - 1)) AS k FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    "op9_line_templates": rf"""
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
+l AS (
+  SELECT doc_id, text, i, line, regexp_extract_all(line, '{_WORDS}') AS t
+  FROM (SELECT doc_id, text, unnest(generate_series(1, len(p))) AS i, unnest(p) AS line
+        FROM (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM d WHERE text IS NOT NULL))),
+f AS (
+  SELECT *, row_number() OVER () AS r, concat_ws(chr(10), len(t),
+      CASE WHEN regexp_matches(t[1], '[0-9]') THEN '<*>' ELSE t[1] END,
+      coalesce(CASE WHEN regexp_matches(t[2], '[0-9]') THEN '<*>' ELSE t[2] END, ''),
+      coalesce(CASE WHEN regexp_matches(t[3], '[0-9]') THEN '<*>' ELSE t[3] END, '')) AS leaf
+  FROM l WHERE len(t) > 0),
+h AS (SELECT * FROM f WHERE leaf IN (SELECT leaf FROM f GROUP BY leaf HAVING count(*) >= {line_templates.MIN_DOCS})),
+p AS (SELECT r, leaf, at, token FROM (SELECT r, leaf, unnest(generate_series(1, len(t))) AS at, unnest(t) AS token FROM h)
+      WHERE NOT regexp_matches(token, '[0-9]')),
+x AS (SELECT leaf, at, token FROM p GROUP BY ALL HAVING count(*) >= {line_templates.MIN_DOCS}),
+m AS (SELECT r, count(*) AS literals, string_agg(at || ' ' || token, chr(10) ORDER BY at) AS template
+      FROM p JOIN x USING (leaf, at, token) GROUP BY r),
+g AS (SELECT h.doc_id, h.text, h.i, h.line, h.leaf, m.template FROM h JOIN m USING (r)
+      WHERE literals * 100 >= {line_templates.LITERAL_PERCENT} * len(h.t)),
+q AS (SELECT leaf, template FROM (SELECT DISTINCT leaf, template, doc_id, text FROM g)
+      GROUP BY ALL HAVING count(*) >= {line_templates.MIN_DOCS}),
+gone AS (SELECT doc_id, text, count(*) AS n, list(i) AS at FROM g JOIN q USING (leaf, template) GROUP BY doc_id, text)
+SELECT documents.doc_id,
+       len(list_filter(string_split(coalesce(documents.text, ''), chr(10)), lambda z: regexp_matches(z, '{_WORDS}'))) AS n_lines,
+       coalesce(gone.n, 0) AS n_dropped,
+       CASE WHEN gone.n IS NULL THEN length(coalesce(documents.text, '')) ELSE length(array_to_string(list_filter(
+         string_split(documents.text, chr(10)), lambda z, k: NOT list_contains(gone.at, k)), chr(10))) END AS clean_chars
+FROM documents LEFT JOIN gone ON gone.text = documents.text AND gone.doc_id IS NOT DISTINCT FROM documents.doc_id""",
 }

@@ -19,7 +19,7 @@ src_customers AS (
            split_part(c.c_name, '#', 2) AS last_name,
            'c' || CAST(c.c_custkey AS VARCHAR) || '@example.com' AS email,
            CASE WHEN c.c_custkey % 10 = 0 THEN NULL
-                ELSE '555-' || lpad(CAST(c.c_custkey AS VARCHAR), 7, '0') END AS phone,
+                ELSE '555-' || lpad(CAST(c.c_custkey AS VARCHAR), greatest(length(CAST(c.c_custkey AS VARCHAR)), 7)::INTEGER, '0') END AS phone,
            n.n_name AS city,
            r.r_name AS state,
            lpad(CAST(c.c_custkey % 100000 AS VARCHAR), 5, '0') AS zip_code
@@ -36,7 +36,7 @@ src_sales_order AS (
     SELECT o_orderkey AS order_id,
            o_custkey AS customer_id,
            o_orderdate AS order_date,
-           'INV-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS invoice_number,
+           'INV-' || lpad(CAST(o_orderkey AS VARCHAR), greatest(length(CAST(o_orderkey AS VARCHAR)), 10)::INTEGER, '0') AS invoice_number,
            o_orderpriority AS payment_method,
            subtotal,
            CAST(round(subtotal * CAST(0.08 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS tax,
@@ -56,8 +56,8 @@ src_lines AS (
                || CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS VARCHAR)
                AS line_item_id,
            l_orderkey AS order_id,
-           'SKU-' || lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS sku,
-           'SVC-' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS serviceid,
+           'SKU-' || lpad(CAST(l_partkey AS VARCHAR), greatest(length(CAST(l_partkey AS VARCHAR)), 8)::INTEGER, '0') AS sku,
+           'SVC-' || lpad(CAST(l_suppkey AS VARCHAR), greatest(length(CAST(l_suppkey AS VARCHAR)), 6)::INTEGER, '0') AS serviceid,
            CAST(l_quantity AS INTEGER) AS quantity,
            CAST(l_extendedprice AS DECIMAL(12,2)) AS line_total,
            CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS cents,
@@ -81,13 +81,13 @@ src_sales_order_services AS (
     FROM src_lines WHERE flag = 'R'
 ),
 src_auto_parts AS (
-    SELECT 'SKU-' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS sku,
+    SELECT 'SKU-' || lpad(CAST(p_partkey AS VARCHAR), greatest(length(CAST(p_partkey AS VARCHAR)), 8)::INTEGER, '0') AS sku,
            p_name AS name, p_type AS description,
            CAST(p_retailprice AS DECIMAL(10,2)) AS price, p_brand AS vendor
     FROM part
 ),
 src_service AS (
-    SELECT 'SVC-' || lpad(CAST(s.s_suppkey AS VARCHAR), 6, '0') AS serviceid,
+    SELECT 'SVC-' || lpad(CAST(s.s_suppkey AS VARCHAR), greatest(length(CAST(s.s_suppkey AS VARCHAR)), 6)::INTEGER, '0') AS serviceid,
            s.s_name AS service, n.n_name AS category,
            CAST(30 + (s.s_suppkey % 8) * 15 AS INTEGER) AS labor_minutes,
            CAST(s.s_acctbal AS DECIMAL(19,2)) AS labor_cost

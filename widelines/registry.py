@@ -691,7 +691,7 @@ def q_csv_gzip_roundtrip(spark, sf_dir):
 
 @register("fact_masked", """
 SELECT * REPLACE (
-    substr(sha256(split_part(email, '@', 1)), 1, 12) || '@' || split_part(email, '@', 2) AS email,
+    sha256('widelines:' || split_part(email, '@', 1)) || '@' || split_part(email, '@', 2) AS email,
     regexp_replace(substr(phone, 1, greatest(length(phone) - 4, 0)), '[0-9]', 'X', 'g')
         || substr(phone, greatest(length(phone) - 3, 1), 4) AS phone,
     substr(last_name, 1, 1) || '.' AS last_name)

@@ -3,7 +3,9 @@
 Everything durable (checkpoints, versioned tables, CSV exports made by the
 registered queries) goes below the folder the cluster names in
 ``spark.checkpoint.dir``.  A private temporary folder is created only when
-the session has none configured, which is the case in local tests.
+the session has none configured and runs on a ``local`` master, as in tests;
+on a cluster such a folder would be another one on each machine, so a
+missing setting is an error there.
 """
 
 from __future__ import annotations
@@ -54,16 +56,20 @@ def build_session(
     return spark
 
 
-_FALLBACK_DIR: dict[int, str] = {}
+def _private_dir(master: str) -> str:
+    """A temporary folder of this machine, for ``local`` masters (driver and executors are one process)."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    return tempfile.mkdtemp(prefix="widelines-ckpt-", dir="/tmp")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, setting one only if unset.
 
     Order: the SparkContext's checkpoint folder, then ``spark.checkpoint.dir``
-    from the configuration, then (local tests only) a private temporary
-    folder.  Sessions without a SparkContext handle (Spark Connect) use the
-    configuration value.
+    from the configuration, then (on a ``local`` master only) a private
+    temporary folder.  Sessions without a SparkContext handle (Spark Connect)
+    must have the setting.
     """
     try:
         sc = spark.sparkContext
@@ -77,15 +83,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if configured:
             sc.setCheckpointDir(configured)
         else:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="widelines-ckpt-", dir="/tmp"))
+            sc.setCheckpointDir(_private_dir(sc.master))
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    key = id(spark)
-    if key not in _FALLBACK_DIR:
-        _FALLBACK_DIR[key] = tempfile.mkdtemp(prefix="widelines-ckpt-", dir="/tmp")
-    return _FALLBACK_DIR[key]
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widelines.functions.joins import broadcast_if_bounded_path
+from widelines.functions.joins import broadcast_if_small_files
 from widelines.functions.money import safe_unit_price
 from widelines.functions.text import pad_code
 from widelines.sources.model import Sources
@@ -30,9 +30,6 @@ LABOR_MINUTES_PER_UNIT = 15
 ORDER_TYPE_BY_STATUS = {"F": "Parts", "O": "Service"}  # otherwise "Mixed"
 ORDER_STATUS_BY_STATUS = {"F": "Completed", "O": "Open"}  # otherwise "Pending"
 
-# nation and region are fixed-size code tables; the probe proves it.
-CODE_TABLE_MAX_ROWS = 10_000
-
 
 def _dec(value: str, precision: int = 3, scale: int = 2):
     return F.lit(value).cast(f"decimal({precision},{scale})")
@@ -46,14 +43,11 @@ def _case(col: str, mapping: dict[str, str], default: str):
     return expr.otherwise(default)
 
 
-def customers_from(customer: DataFrame, nation: DataFrame, region: DataFrame,
-                   sf_dir: str = "") -> DataFrame:
-    geo = nation.join(broadcast_if_bounded_path(region, f"{sf_dir}/region", CODE_TABLE_MAX_ROWS),
-                      nation.n_regionkey == region.r_regionkey)
+def customers_from(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    geo = nation.join(broadcast_if_small_files(region), nation.n_regionkey == region.r_regionkey)
     key = F.col("c_custkey")
     return (
-        customer.join(broadcast_if_bounded_path(geo.select("n_nationkey", "n_name", "r_name"),
-                                                f"{sf_dir}/nation+region", CODE_TABLE_MAX_ROWS),
+        customer.join(broadcast_if_small_files(geo.select("n_nationkey", "n_name", "r_name"), nation, region),
                       customer.c_nationkey == F.col("n_nationkey"))
         .select(
             key.alias("customer_id"),
@@ -134,10 +128,9 @@ def auto_parts_from(part: DataFrame) -> DataFrame:
     )
 
 
-def service_from(supplier: DataFrame, nation: DataFrame, sf_dir: str = "") -> DataFrame:
+def service_from(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     return supplier.join(
-        broadcast_if_bounded_path(nation.select("n_nationkey", "n_name"), f"{sf_dir}/nation",
-                                  CODE_TABLE_MAX_ROWS),
+        broadcast_if_small_files(nation.select("n_nationkey", "n_name"), nation),
         supplier.s_nationkey == F.col("n_nationkey"),
     ).select(
         pad_code("SVC-", "s_suppkey", 6).alias("serviceid"),
@@ -152,8 +145,7 @@ def service_parts_from(lineitem: DataFrame) -> DataFrame:
     """Required quantity per (service, part).
 
     Grouped on the integer keys (cheap hashing, map-side partial
-    aggregation) and formatted afterwards; the code formats are one-to-one
-    while keys fit their width (8 digits for parts, 6 for suppliers).
+    aggregation) and formatted afterwards; the code formats are one-to-one.
     """
     return (lineitem.groupBy("l_suppkey", "l_partkey")
             .agg(F.sum(F.col("l_quantity").cast("int")).cast("int").alias("quantity"))
@@ -168,11 +160,11 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
            for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
     lines = lines_from(raw["lineitem"])
     return Sources(
-        customers=customers_from(raw["customer"], raw["nation"], raw["region"], sf_dir),
+        customers=customers_from(raw["customer"], raw["nation"], raw["region"]),
         sales_order=sales_order_from(raw["orders"]),
         sales_order_parts=parts_from(lines),
         sales_order_services=services_from(lines),
         auto_parts=auto_parts_from(raw["part"]),
-        service=service_from(raw["supplier"], raw["nation"], sf_dir),
+        service=service_from(raw["supplier"], raw["nation"]),
         service_parts=service_parts_from(raw["lineitem"]),
     )
