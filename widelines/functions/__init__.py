@@ -2,7 +2,7 @@
 
 from widelines.functions.money import safe_unit_price, within_tolerance
 from widelines.functions.text import customer_name, mask_email, mask_phone, pad_code
-from widelines.functions.joins import broadcast_if_bounded, broadcast_if_bounded_path, is_bounded
+from widelines.functions.joins import broadcast_if_bounded, broadcast_if_small_files, is_bounded
 
 __all__ = [
     "safe_unit_price",
@@ -12,6 +12,6 @@ __all__ = [
     "mask_phone",
     "pad_code",
     "broadcast_if_bounded",
-    "broadcast_if_bounded_path",
+    "broadcast_if_small_files",
     "is_bounded",
 ]

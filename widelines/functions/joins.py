@@ -30,14 +30,16 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_RO
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
-_PATH_PROBES: dict[tuple[str, int], bool] = {}
+#: Files of a code table: even when Parquet packed it well, its rows fit in an executor many times over.
+SMALL_FILES_BYTES = 1 << 20
 
 
-def broadcast_if_bounded_path(df: DataFrame, path: str,
-                              max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """As ``broadcast_if_bounded`` for a frame read from immutable input ``path``:
-    the probe runs once per path and bound in this process."""
-    key = (path, max_rows)
-    if key not in _PATH_PROBES:
-        _PATH_PROBES[key] = is_bounded(df, max_rows)
-    return F.broadcast(df) if _PATH_PROBES[key] else df
+def file_bytes(df: DataFrame) -> int:
+    """Bytes that the optimizer knows ``df`` to take: for a frame read from files, the files' sizes. Starts no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def broadcast_if_small_files(df: DataFrame, *inputs: DataFrame, max_bytes: int = SMALL_FILES_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when the frames that it is made of (``df`` itself by default) take ``max_bytes`` at most.
+    ``df`` must have at most one row for each row of the first input."""
+    return F.broadcast(df) if sum(map(file_bytes, inputs or (df,))) <= max_bytes else df
