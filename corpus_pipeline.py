@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from widelines.llm import near_dup, quality
+from widelines.llm import decontaminate, mixing, near_dup, quality, sharding
 from widelines.llm.storage import stored
 
 
@@ -22,9 +22,27 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return near_dup.keep_one(docs, size=5, percent=80)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go of whose words at least one in twenty lies in a window of a benchmark item."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, so that every source comes near its target of words."""
+    return mixing.mixed_documents(docs)
+
+
+def maglev_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its slot and shard."""
+    return sharding.placed(docs, sharding.document_key())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+    ("maglev_sharding", maglev_sharding),
 ]
 
 #: Not expressible as one SQL statement of reasonable size; tested stage by stage against brute force.

@@ -93,6 +93,13 @@ class TestIndex:
         self.may_begin = np.zeros(1 << FILTER_BITS, bool)
         self.may_begin[mix(self.begins) >> np.uint64(64 - FILTER_BITS)] = True
 
+    @classmethod
+    def of(cls, state: dict) -> "TestIndex":
+        """An index from its attributes, which are what is broadcast (arrays, a number and a list of names)."""
+        made = cls.__new__(cls)
+        made.__dict__.update(state)
+        return made
+
     @staticmethod
     def _begins(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         out = np.zeros(len(at), np.uint64)
@@ -187,17 +194,18 @@ def _shard(index: TestIndex, chunk: Chunk, spans_before) -> list[pa.Array]:
     return out
 
 
-def _pass(df: DataFrame, index, text: str, again: bool) -> DataFrame:
+def _pass(df: DataFrame, shared, text: str, again: bool) -> DataFrame:
     columns = df.columns[: -len(FOUND)] if again else df.columns
     at = columns.index(text)
     schema = T.StructType([df.schema[c] for c in columns] + FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = TestIndex.of(shared.value)
         for batch in batches:
             for chunk in chunks(batch.column(at), lower=True):
                 part = batch.slice(chunk.first, len(chunk))
                 before = part.column(len(columns) + 1) if again else None
-                found = _shard(index.value, chunk, before)
+                found = _shard(search, chunk, before)
                 if again:
                     old = part.column(len(columns) + 2).to_pylist()
                     found[2] = pa.array([a + b for a, b in zip(old, found[2].to_pylist())], found[2].type)
@@ -225,7 +233,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     for k, index in enumerate(_blocks(benchmark, item_id, item_text, window, block_bytes)):
         if k and k % CHAINED == 0:
             out = stored(out, "matches")
-        out = _pass(out, spark.sparkContext.broadcast(index), text, again=k > 0)
+        out = _pass(out, spark.sparkContext.broadcast(vars(index)), text, again=k > 0)
     return out
 
 

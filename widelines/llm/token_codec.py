@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAGIC = b"CMRB"
-HEAD = struct.Struct("<4sIIII")
+HEAD = "<4sIIII"
 STEPS = 256
 MAX_LANES = 60_000
 TABLE_BITS = 18
@@ -99,7 +99,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     """``ids``: non-negative integers below ``vocabulary`` (at most 2**17)."""
     n = len(ids)
     lanes, steps = _lanes(n)
-    head = HEAD.pack(MAGIC, n, lanes, vocabulary, zlib.crc32(ids.astype("<u4").tobytes()))
+    head = struct.pack(HEAD, MAGIC, n, lanes, vocabulary, zlib.crc32(ids.astype("<u4").tobytes()))
     if not n:
         return head
     table = np.zeros((steps, lanes), np.int64)
@@ -156,14 +156,14 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
 
 def decode_block(data: bytes) -> np.ndarray:
     """The ids of a block; raises ValueError if it is damaged."""
-    magic, n, lanes, vocabulary, check = HEAD.unpack_from(data)
+    magic, n, lanes, vocabulary, check = struct.unpack_from(HEAD, data)
     if magic != MAGIC or lanes != _lanes(n)[0]:
         raise ValueError("not a block of token ids")
     steps = _lanes(n)[1]
     if not n:
         return np.zeros(0, np.int64)
-    counts = np.frombuffer(data, "<u4", lanes, HEAD.size).astype(np.int64)
-    words = np.concatenate([np.frombuffer(data, "<u2", -1, HEAD.size + 4 * lanes).astype(U), np.zeros(8, U)])
+    counts = np.frombuffer(data, "<u4", lanes, struct.calcsize(HEAD)).astype(np.int64)
+    words = np.concatenate([np.frombuffer(data, "<u2", -1, struct.calcsize(HEAD) + 4 * lanes).astype(U), np.zeros(8, U)])
     if len(words) - 8 != counts.sum():
         raise ValueError("a block of token ids is cut short")
     at = np.cumsum(counts) - counts
