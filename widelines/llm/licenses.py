@@ -136,6 +136,13 @@ class LicenceModel:
                           enumerate(TEMPLATES.items(), 1) for n in ns]
         self.pairs = np.unique(np.concatenate([c for _, c in self.templates]))
 
+    @classmethod
+    def of(cls, state: dict) -> "LicenceModel":
+        """A model from its attributes, which are what is broadcast."""
+        made = cls.__new__(cls)
+        made.__dict__.update(state)
+        return made
+
     def logits(self, rows: np.ndarray, cols: np.ndarray, n: int) -> np.ndarray:
         out = np.repeat(self.weights[-1:], n, axis=0)
         np.add.at(out, rows, self.weights[cols])
@@ -215,11 +222,11 @@ FOUND = T.ArrayType(T.StructType([T.StructField("family", T.StringType()), T.Str
 def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, paragraphs: family, probability and containment of each paragraph that the classifier puts in a
     family, in reading order) per row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("paragraphs", FOUND)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = LicenceModel.of(shared.value)
         names = pa.array(model.families)
         for batch in batches:
             for chunk in chunks(batch.column(1), lower=True):

@@ -176,20 +176,20 @@ f AS (
       coalesce(CASE WHEN regexp_matches(t[3], '[0-9]') THEN '<*>' ELSE t[3] END, '')) AS leaf
   FROM l WHERE len(t) > 0),
 h AS (SELECT * FROM f WHERE leaf IN (SELECT leaf FROM f GROUP BY leaf HAVING count(*) >= {line_templates.MIN_DOCS})),
-p AS (SELECT r, leaf, at, token FROM (SELECT r, leaf, unnest(generate_series(1, len(t))) AS at, unnest(t) AS token FROM h)
+p AS (SELECT r, leaf, pos, token FROM (SELECT r, leaf, unnest(generate_series(1, len(t))) AS pos, unnest(t) AS token FROM h)
       WHERE NOT regexp_matches(token, '[0-9]')),
-x AS (SELECT leaf, at, token FROM p GROUP BY ALL HAVING count(*) >= {line_templates.MIN_DOCS}),
-m AS (SELECT r, count(*) AS literals, string_agg(at || ' ' || token, chr(10) ORDER BY at) AS template
-      FROM p JOIN x USING (leaf, at, token) GROUP BY r),
+x AS (SELECT leaf, pos, token FROM p GROUP BY ALL HAVING count(*) >= {line_templates.MIN_DOCS}),
+m AS (SELECT r, count(*) AS literals, string_agg(pos || ' ' || token, chr(10) ORDER BY pos) AS template
+      FROM p JOIN x USING (leaf, pos, token) GROUP BY r),
 g AS (SELECT h.doc_id, h.text, h.i, h.line, h.leaf, m.template FROM h JOIN m USING (r)
       WHERE literals * 100 >= {line_templates.LITERAL_PERCENT} * len(h.t)),
 q AS (SELECT leaf, template FROM (SELECT DISTINCT leaf, template, doc_id, text FROM g)
       GROUP BY ALL HAVING count(*) >= {line_templates.MIN_DOCS}),
-gone AS (SELECT doc_id, text, count(*) AS n, list(i) AS at FROM g JOIN q USING (leaf, template) GROUP BY doc_id, text)
+gone AS (SELECT doc_id, text, count(*) AS n, list(i) AS places FROM g JOIN q USING (leaf, template) GROUP BY doc_id, text)
 SELECT documents.doc_id,
        len(list_filter(string_split(coalesce(documents.text, ''), chr(10)), lambda z: regexp_matches(z, '{_WORDS}'))) AS n_lines,
        coalesce(gone.n, 0) AS n_dropped,
        CASE WHEN gone.n IS NULL THEN length(coalesce(documents.text, '')) ELSE length(array_to_string(list_filter(
-         string_split(documents.text, chr(10)), lambda z, k: NOT list_contains(gone.at, k)), chr(10))) END AS clean_chars
+         string_split(documents.text, chr(10)), lambda z, k: NOT list_contains(gone.places, k)), chr(10))) END AS clean_chars
 FROM documents LEFT JOIN gone ON gone.text = documents.text AND gone.doc_id IS NOT DISTINCT FROM documents.doc_id""",
 }

@@ -26,6 +26,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from widelines.llm.storage import stored
 
@@ -81,9 +82,7 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
             yield pd.concat([frame.reset_index(drop=True), found], axis=1)
 
     held = df.withColumn("_text", F.coalesce(url, F.lit("")))
-    schema = held.schema
-    for name in LEXICAL:
-        schema = schema.add(name, "double")
+    schema = T.StructType([*held.schema.fields, *(T.StructField(name, T.DoubleType()) for name in LEXICAL)])
     return held.mapInPandas(run, schema).drop("_text")
 
 
