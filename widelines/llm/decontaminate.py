@@ -249,4 +249,6 @@ def contaminated() -> F.Column:
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose text is not contaminated, with their columns as they were."""
     names = docs.columns
-    return find_matches(docs, benchmark, text, **options).where(~contaminated()).select(*names)
+    numbered = docs.toDF(*(f"c{k}" for k in range(len(names))))  # so that no column's name clashes with the result's
+    found = find_matches(numbered, benchmark, f"c{names.index(text)}", **options)
+    return found.where(~contaminated()).select(*numbered.columns).toDF(*names)

@@ -139,13 +139,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` as the mix takes them: each row as often as the mix takes its words, 0 to ``MOST`` times. A broken
     number of times is rounded up or down by a hash of the id, so that a source's words stay near its target."""
+    names = docs.columns
+    id_col, text, source = (f"c{names.index(c)}" for c in (id_col, text, source))
+    docs = docs.toDF(*(f"c{k}" for k in range(len(names))))  # so that no column's name clashes with the ones added
     taken = mix(docs, id_col, text, source).groupBy("doc_id", "size", "source").agg(
         F.sum("taken").alias("taken"), F.count("*").alias("rows"))
     times = F.expr(f"floor(taken / rows / size + (pmod(xxhash64(doc_id, size), {PRIME}) / {PRIME}D))")
     copies = taken.where("size > 0").select(
         F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"),
         F.least(times, F.lit(MOST)).cast("int").alias("_times")).where("_times > 0")
-    names = docs.columns
     return (docs.withColumn("_words", word_count(text)).join(copies, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
             & (F.col("_words") == F.col("_size")) & F.col(source).eqNullSafe(F.col("_source")))
-            .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*names))
+            .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns).toDF(*names))

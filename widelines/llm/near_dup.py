@@ -239,4 +239,4 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "d
     """The rows of ``docs`` less those of documents that another document of their component stands for."""
     gone = near_duplicates(docs, size, percent, id_col, text).where(~F.col("kept")).select(
         F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

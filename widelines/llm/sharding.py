@@ -59,16 +59,17 @@ def placed(df: DataFrame, key: Column, shards: tuple[str, ...] = SHARDS, slots:
            salted: Column | None = None, salt: Column | None = None, shard_col: str = "shard",
            slot_col: str = "slot") -> DataFrame:
     """``df`` with the slot and shard of each row. ``key`` is a string; rows where ``salted`` is true are placed by
-    key and ``salt``."""
+    key and ``salt``. Columns of ``df`` that are named as the two results are replaced."""
     if salted is not None:
         key = F.when(salted, F.concat_ws("/", key, salt.cast("string"))).otherwise(key)
     table = df.sparkSession.range(1).select(
         F.posexplode(F.split(F.lit(",".join(map(str, lookup_table(shards, slots)))), ",")).alias("_slot", "_shard"))
-    names = F.element_at(F.array(*map(F.lit, shards)), F.col("_shard").cast("int") + 1)
-    table = table.select(F.col("_slot").cast("long").alias("_slot"), names.alias("_shard"))
-    spread = df.withColumn(slot_col, slot_of(key, slots))
-    return spread.join(F.broadcast(table), spread[slot_col] == F.col("_slot")).select(
-        *spread.columns, F.col("_shard").alias(shard_col))
+    name = F.element_at(F.array(*map(F.lit, shards)), F.col("_shard").cast("int") + 1)
+    table = table.select(F.col("_slot").cast("long").alias("_slot"), name.alias("_shard"))
+    names = [c for c in df.columns if c not in (slot_col, shard_col)]
+    spread = df.select(*names, slot_of(key, slots).alias(slot_col))
+    return spread.join(F.broadcast(table), spread[slot_col] == table["_slot"]).select(
+        *(spread[c] for c in spread.columns), table["_shard"].alias(shard_col))
 
 
 def write_shards(df: DataFrame, path: str, shard_col: str = "shard") -> None:
