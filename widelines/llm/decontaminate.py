@@ -142,8 +142,11 @@ def _longest(index: TestIndex, at: np.ndarray, kinds: np.ndarray):
     start, length = np.repeat(at, counts), np.repeat(index.length[kinds], counts)
     use = np.repeat(index.first[kinds], counts) + np.arange(len(start)) - np.repeat(np.cumsum(counts) - counts, counts)
     item, place = index.owner[use], index.place[use]
-    order = np.lexsort((start, start - place, item))
+    order = np.lexsort((length, start, start - place, item))
     item, place, start, length = item[order], place[order], start[order], length[order]
+    last = np.ones(len(start), bool)  # items that share an id and a text hit twice: the longest counts
+    last[:-1] = (item[1:] != item[:-1]) | (place[1:] != place[:-1]) | (start[1:] != start[:-1])
+    item, place, start, length = item[last], place[last], start[last], length[last]
     new = np.ones(len(start), bool)
     new[1:] = (item[1:] != item[:-1]) | (start[1:] - place[1:] != start[:-1] - place[:-1]) | (start[1:] != start[:-1] + 1)
     head = np.flatnonzero(new)
