@@ -80,10 +80,12 @@ def with_slots(sources: DataFrame, block: int = BLOCK, most: int = MOST) -> Data
             .withColumn("all_slots", F.sum("slots").over(Window.partitionBy())))
 
 
-def slots(sources: DataFrame, block: int = BLOCK, per_shard: int = PER_SHARD, batch: int = 65_536) -> DataFrame:
+def slots(sources: DataFrame, block: int = BLOCK, per_shard: int = PER_SHARD, batch: int = 8192) -> DataFrame:
     """One row per take: rank, slot, pass, block_no, words (taken of the block), shard, place."""
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A number of partitions keeps AQE from merging these few rows, which grow to many slots, into one task.
     rows = (sources.withColumn("part", F.explode(F.expr(f"sequence(0L, slots div {batch})")))
-            .repartition("rank", "part")
+            .repartition(tasks, "rank", "part")
             .withColumn("slot", F.explode(F.expr(
                 f"if(slots > part * {batch}, sequence(part * {batch}, least(slots, (part + 1) * {batch}) - 1), "
                 "cast(array() as array<bigint>))")))
