@@ -30,7 +30,7 @@ BLOCK = 64
 PER_SHARD = 4096
 MOST = 3
 #: Documents of a chunk: a source's running sum is taken within chunks, then over the chunks' totals.
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4_000
 PRIME = 2**31 - 1
 ROUNDS = 8
 
