@@ -36,7 +36,7 @@ SMALL_FILES_BYTES = 1 << 20
 
 def file_bytes(df: DataFrame) -> int:
     """Bytes that the optimizer knows ``df`` to take: for a frame read from files, the files' sizes. Starts no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small_files(df: DataFrame, *inputs: DataFrame, max_bytes: int = SMALL_FILES_BYTES) -> DataFrame:
