@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from widelines import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -42,7 +43,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
 
 
 def test_entry_smoke(spark):
@@ -50,11 +51,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and df.columns[0] == "order_id"
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF)
+    df = registry.QUERIES[key](spark, SF)
     cols, rows = df.columns, df.collect()
-    cur = duck.execute(entry.oracle_sql()[key])
+    cur = duck.execute(registry.ORACLE[key])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(cols) == sorted(ocols)

@@ -67,10 +67,10 @@ def test_fact_inflation_matches_survey():
 
 
 def test_every_oracle_runs_in_duckdb():
-    import __spark_entry__ as entry
+    from widelines import registry
 
     con = _duck("sf0.001")
-    for key, sql in entry.oracle_sql().items():
+    for key, sql in registry.ORACLE.items():
         cur = con.execute(sql)
         cols = [d[0] for d in cur.description]
         rows = cur.fetchall()
