@@ -23,36 +23,38 @@ from widelines.llm.storage import stored
 DEPTH = 3
 MIN_DOCS = 10
 LITERAL_PERCENT = 60
-_BLANKS = r"[\\x20\\x09-\\x0D]+"
+#: Inside a line every blank is turned into a space, so that tokens are cut by a plain split.
+_BLANKS = "\t\x0b\x0c\r"
+_TOKENS = "array_remove(split(line, ' '), '')"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, line, tokens) of lines with a word, of distinct (doc_id, text) rows or repeated."""
-    token = f"filter(split(line, '{_BLANKS}'), x -> x != '')"
-    return (docs.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .withColumn("tokens", F.expr(token)).where("size(tokens) > 0"))
+    """(doc_id, text_hash, line_no, line, leaf) of lines with a word, of distinct (doc_id, text) rows or repeated."""
+    spaced = F.translate("text", _BLANKS, " " * len(_BLANKS))
+    masked = [f"if(rlike(try_element_at(tokens, {k}), '[0-9]'), '<*>', coalesce(try_element_at(tokens, {k}), ''))"
+              for k in range(1, DEPTH + 1)]
+    leaf = F.expr(f"xxhash64(size(tokens), {', '.join(masked)})")
+    return (docs.select("doc_id", "text_hash", F.posexplode(F.split(spaced, "\n")).alias("line_no", "line"))
+            .where("trim(line) != ''").withColumn("tokens", F.expr(_TOKENS)).withColumn("leaf", leaf).drop("tokens"))
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, literal_percent: int = LITERAL_PERCENT) -> DataFrame:
     """(doc_id, text_hash, line_no) of every line of a recurring template. ``docs``: doc_id, text_hash, text."""
-    lines = _lines(docs)
-    masked = [f"if(rlike(try_element_at(tokens, {k}), '[0-9]'), '<*>', coalesce(try_element_at(tokens, {k}), ''))"
-              for k in range(1, DEPTH + 1)]
-    leaf = F.expr(f"xxhash64(size(tokens), {', '.join(masked)})")
-    parsed = lines.withColumn("leaf", leaf)
+    parsed = _lines(docs)
     large = parsed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    hot = stored(parsed.join(large, "leaf").select("doc_id", "text_hash", "line_no", "leaf", "line", "tokens"), "lines")
+    # Tokens are cut again after the join: as arrays they would make up most of what is shuffled.
+    hot = stored(parsed.join(large, "leaf").select(
+        "doc_id", "text_hash", "line_no", "leaf", "line", F.size(F.expr(_TOKENS)).alias("n_tokens")), "lines")
 
     kinds = hot.groupBy("leaf", "line").agg(F.count("*").alias("n"))
-    kinds = kinds.withColumn("kind", F.xxhash64("leaf", "line")).withColumn(
-        "tokens", F.expr(f"filter(split(line, '{_BLANKS}'), x -> x != '')"))
-    places = stored(kinds.select("leaf", "kind", "n", F.posexplode("tokens").alias("at", "token")).where(
+    kinds = kinds.withColumn("kind", F.xxhash64("leaf", "line"))
+    places = stored(kinds.select("leaf", "kind", "n", F.posexplode(F.expr(_TOKENS)).alias("at", "token")).where(
         "not rlike(token, '[0-9]')"), "places")
     fixed = places.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).drop("n")
     template = (places.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "kind").agg(
         F.count("*").alias("literals"), F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "token")))).alias("template")))
 
-    marked = hot.select("doc_id", "text_hash", "line_no", "leaf", F.size("tokens").alias("n_tokens"),
+    marked = hot.select("doc_id", "text_hash", "line_no", "leaf", "n_tokens",
                         F.xxhash64("leaf", "line").alias("kind"))
     fitting = stored(marked.join(template, ["leaf", "kind"]).where(
         F.col("literals") * 100 >= literal_percent * F.col("n_tokens")), "fitting")
