@@ -5,7 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from widelines.schemas import SOURCES
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from widelines.schemas import SALES_ORDER_FACT, SOURCES
 from widelines.sources.model import Sources
 
 T0 = dt.datetime(2025, 1, 15, 10, 30, 0)
@@ -49,3 +52,19 @@ def make_sources(spark, customers=(), orders=(), parts=(), services=(), auto_par
     }
     return Sources(**{name: spark.createDataFrame(list(rows), SOURCES[name])
                       for name, rows in data.items()})
+
+
+def fanned_out_fact(src: Sources) -> DataFrame:
+    """The order fact by brute force: both kinds of lines joined to the order, grouped by every field that is no metric."""
+    kinds = {"parts": src.sales_order_parts, "services": src.sales_order_services}
+    wide = src.sales_order.join(src.customers, "customer_id")
+    for kind, lines in kinds.items():
+        wide = wide.join(lines.select("order_id", F.col("line_item_id").alias(f"{kind}_id"),
+                                      F.col("quantity").alias(f"{kind}_quantity")), "order_id", "left")
+    counts = {kind: F.countDistinct(f"{kind}_id") for kind in kinds}
+    metrics = {f"{kind}_line_count": n for kind, n in counts.items()}
+    metrics |= {f"total_{kind}_quantity": F.coalesce(F.sum(f"{kind}_quantity"), F.lit(0)) for kind in kinds}
+    metrics["total_line_items"] = counts["parts"] + counts["services"]
+    fields = SALES_ORDER_FACT.fieldNames()
+    return wide.groupBy(*(f for f in fields if f not in metrics)).agg(
+        *(m.alias(name) for name, m in metrics.items())).select(*fields)

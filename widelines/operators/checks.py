@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from widelines.functions.money import TOLERANCE, within_tolerance
@@ -293,3 +293,30 @@ def reconciled_issues(fact_row, source_row, lines_row) -> dict[str, int]:
 def reconciled_financial_ok(fact_row, source_row) -> bool:
     s, d = source_row["source_total"], fact_row["denormalized_total"]
     return s is not None and d is not None and abs(s - d) < Decimal(TOLERANCE)
+
+
+def reconcile_counts(src: Sources, lines: DataFrame) -> DataFrame:
+    """One row: source lines less stored lines (in number, and in cents) per type, and repeated keys of the orders.
+
+    All zero when every source line is stored once and orders are unique, as the source's keys demand.
+    """
+    kinds = {"PART": src.sales_order_parts, "SERVICE": src.sales_order_services}
+
+    def cents(name: str) -> Column:
+        return F.coalesce(F.sum(F.round(F.col(name) * 100).cast("decimal(38,0)")), F.lit(0))
+
+    stored = lines.groupBy(F.col("line_item_type").alias("kind")).agg(
+        (-F.count("*")).alias("n"), (-cents("line_total")).alias("cents"))
+    for kind, table in kinds.items():
+        stored = stored.unionByName(table.agg(F.count("*").alias("n"), cents("line_total").alias("cents"))
+                                    .withColumn("kind", F.lit(kind)))
+    stack = "stack(2, concat(kind, ' lines: source less stored, n'), cast(n as decimal(38,0)), " \
+            "concat(kind, ' lines: source less stored, cents'), cast(cents as decimal(38,0))) as (label, n)"
+    found = stored.selectExpr(stack)
+    for key in ("order_id", "invoice_number"):
+        repeated = src.sales_order.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+        found = found.unionByName(repeated.agg(F.count("*").cast("decimal(38,0)").alias("n"))
+                                  .withColumn("label", F.lit(f"Repeated {key} in sales_order")))
+    labels = [f"{kind} lines: source less stored, {c}" for kind in kinds for c in ("n", "cents")]
+    labels += [f"Repeated {key} in sales_order" for key in ("order_id", "invoice_number")]
+    return found.agg(*(F.coalesce(F.sum(F.when(F.col("label") == x, F.col("n"))), F.lit(0)).alias(x) for x in labels))

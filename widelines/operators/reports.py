@@ -146,7 +146,7 @@ def parts_demand(lines: DataFrame, catalog: DataFrame,
             .agg(F.sum(F.col("service_units") * F.col("parts_quantity_required"))
                  .alias("units_required"),
                  F.sum("service_lines").alias("service_lines"),
-                 F.count(F.lit(1)).alias("services_using_part")))
+                 F.countDistinct("serviceid").alias("services_using_part")))
 
 
 def order_mix(fact: DataFrame) -> DataFrame:
