@@ -135,3 +135,35 @@ def test_slot_of_a_document(spark):
     row = q.op5_maglev_sharding(spark, SF).where("doc_id = 3").first()
     slot = int(hashlib.md5(b"3").hexdigest()[:15], 16) % sharding.SLOTS
     assert row["slot"] == slot and row["shard"] == sharding.SHARDS[sharding.lookup_table()[slot]]
+
+
+def test_licences_of_wrapped_notices(spark):
+    import textwrap
+
+    rows, want = [], {}
+
+    def add(text, families):
+        want[len(rows)] = families
+        rows.append((len(rows), text))
+
+    for family, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            for mark in ("", "# ", " * "):
+                wrapped = "\n".join(mark + x for x in textwrap.wrap(notice, 40))
+                add(f"Some words of prose come before it.\n\n{wrapped}\n\nAnd after.", [family])
+                add(f"Some words of prose come before it.\n{wrapped}\nint main() of the program", [family])
+    header = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General "
+              "Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your "
+              "option) any later version.")
+    add(header.format("", 3), ["gpl-3.0"])
+    add(header.format("", 2), ["gpl-2.0"])
+    add(header.format("Lesser ", 3), [])
+    add(header.format("Affero ", 3), [])
+    add("This work is licensed under the GNU Lesser General Public License, version 3.", [])
+    add("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", [])
+    add("This work is licensed under a Creative Commons\nAttribution 3.0 International License.", [])
+    add("Licensed under CC BY-ND 4.0.", [])
+    add("Licensed under the MIT License.\nLicensed under CC BY 4.0.", ["cc-by-4.0", "mit"])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["licences"] for r in licenses.licences(docs).collect()}
+    assert {k: (rows[k][1], v) for k, v in got.items() if v != want[k]} == {}

@@ -1,11 +1,16 @@
 """Operator 3, licence scan: a trained paragraph classifier, confirmed by templates.
 
-Paragraphs are the lines of a text that hold a word. A multinomial logistic regression over sparse word n-grams (1 to
+Paragraphs are the blocks of a text between lines without a word, with line breaks and comment marks taken as blanks,
+so that wrapped notices are whole. A multinomial logistic regression over sparse word n-grams (1 to
 3 words, hashed) knows the licence families of ``TEMPLATES`` and "unknown". It is trained on variants of the
-templates and, as unknown, on paragraphs of the corpus without a licence cue and on shuffled or cut notices that
-must not count. The temperature of its probabilities is calibrated on variants held back from training. A paragraph
-is of a family when the family's probability reaches ``threshold`` and the best of its templates is contained in the
-paragraph: at least ``contained`` of the template's word pairs, compared in full.
+templates and, as unknown, on paragraphs of the corpus without a licence cue, on shuffled or cut notices that must
+not count, and on notices of licences that are not listed. The temperature of its probabilities is calibrated on
+variants held back from training. It judges each line, each paragraph of several lines, and each run of words of
+about a template's length that holds ``contained`` of the template's word pairs. A paragraph is of a family when the
+family's probability reaches ``threshold`` there, at least ``contained`` of the word pairs of one of its templates
+are found, compared in full, and the deciding words agree: the template's version number and its conditions (as
+non-commercial) are there, and no word of another licence of the same kind (as lesser, affero, no derivatives).
+A paragraph can be of several families.
 
 Training takes ``NEGATIVES`` paragraphs at most of the corpus; scoring takes every paragraph of every whole text in
 the task that reads it, without a shuffle. The model (some thousand n-grams) is broadcast.
@@ -61,6 +66,25 @@ TEMPLATES = {
 }
 #: Openings and closings around notices in training variants; cues that keep a corpus paragraph out of the unknowns.
 AROUND = ("", "Note:", "Copyright 2021 the authors.", "This file is", "See the file for details.", "The text is")
+#: Notices of licences that are not listed: unknown.
+UNLISTED = (
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "under the terms of the GNU Lesser General Public License version 2 as published by the Free Software Foundation",
+    "under the terms of the GNU Affero General Public License version 3 as published by the Free Software Foundation",
+    "Licensed under CC BY-ND 4.0.", "Licensed under CC BY-NC-ND 4.0.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "Licensed under the BSD 2-Clause License.", "Licensed under the ISC License.",
+    "Licensed under the Eclipse Public License, version 2.0.",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "This is free and unencumbered software released into the public domain.",
+)
+#: Words that tell licences of one kind apart, by what they say, and the families of the kind with what they need.
+TELLING = {"nc": ("nc", "noncommercial", "commercial"), "sa": ("sa", "sharealike", "alike"),
+           "nd": ("nd", "noderivatives", "noderivs", "derivatives", "derivs"), "lesser": ("lesser", "library"),
+           "affero": ("affero",)}
+KINDS = ((("nc", "sa", "nd"), {"cc-by-4.0": (), "cc-by-nc-4.0": ("nc",), "cc-by-sa-4.0": ("sa",)}),
+         (("lesser", "affero"), {"gpl-2.0": (), "gpl-3.0": ()}))
 CUE = r"(?i)licen[sc]e|copyright|rights reserved|permission|redistribution|creative commons|\bcc by|\bgpl|\bmit\b"
 NEGATIVES = 3000
 MAX_GRAM = 3
@@ -68,18 +92,21 @@ THRESHOLD = 0.5
 CONTAINED = 0.8
 
 
-def paragraph_words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, paragraph of each word, text of each paragraph) for paragraphs with a word."""
+def paragraph_words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, line of each word, paragraph of each word, text of each paragraph), of lines and paragraphs with
+    a word, counted from 0."""
     starts, ends, _ = chunk.words(ALNUM_WORDS)
     line_starts, _, first = chunk.lines()
-    line = np.searchsorted(line_starts, starts, "right") - 1
-    held, paragraph = np.unique(line, return_inverse=True)
+    at = np.searchsorted(line_starts, starts, "right") - 1
+    held, line = np.unique(at, return_inverse=True)
     owner = np.searchsorted(first, held, "right") - 1
-    return span_hashes(chunk.data, starts, ends), paragraph, owner
+    new = np.ones(len(held), bool)
+    new[1:] = (held[1:] > held[:-1] + 1) | (owner[1:] != owner[:-1])
+    return span_hashes(chunk.data, starts, ends), line, (np.cumsum(new) - 1)[line], owner[new]
 
 
 def grams(words: np.ndarray, paragraph: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(paragraph, code) of all word n-grams, length after length."""
+    """(first word, code) of all word n-grams within paragraphs, length after length."""
     codes = words
     for n in range(1, MAX_GRAM + 1):
         if n > 1:
@@ -87,15 +114,29 @@ def grams(words: np.ndarray, paragraph: np.ndarray) -> Iterator[tuple[np.ndarray
                 return
             same = paragraph[n - 1 :] == paragraph[: len(paragraph) - n + 1]
             codes = mix(codes[: len(words) - n + 1] + mix(words[n - 1 :], 60 + n), 61)
-            yield paragraph[: len(same)][same], codes[same]
+            yield np.flatnonzero(same), codes[same]
         else:
-            yield paragraph, mix(codes, 60)
+            yield np.arange(len(words)), mix(codes, 60)
+
+
+def _words(text: str) -> np.ndarray:
+    return paragraph_words(next(chunks(pa.array([text.replace("\n", " ")]), lower=True)))[0]
 
 
 def _codes(text: str) -> list[np.ndarray]:
-    chunk = next(chunks(pa.array([text.replace("\n", " ")]), lower=True))
-    words, paragraph, _ = paragraph_words(chunk)
-    return [c for _, c in grams(words, paragraph)]
+    words = _words(text)
+    return [c for _, c in grams(words, np.zeros(len(words), np.int64))]
+
+
+def deciding(family: str, notice: str) -> tuple[list[np.ndarray], np.ndarray]:
+    """Words of which one each must be there (version number, conditions), and words that must not."""
+    needed = [(d,) for d in "123456789" if np.isin(_words(d), _words(notice)).all()]
+    refused: list[str] = []
+    for names, families in KINDS:
+        if family in families:
+            needed += [TELLING[x] for x in families[family]]
+            refused += [w for x in names if x not in families[family] for w in TELLING[x]]
+    return [_words(" ".join(x)) for x in needed], _words(" ".join(refused))
 
 
 def variants(seed: int = 5) -> tuple[list[str], list[int]]:
@@ -122,9 +163,11 @@ class LicenceModel:
     def __init__(self, negatives: list[str], seed: int = 5, rounds: int = 200):
         self.families = ["unknown", *TEMPLATES]
         texts, family = variants(seed)
-        texts, family = texts + negatives, np.array(family + [0] * len(negatives))
+        unlisted = [f"{before} {notice} {after}" for notice in UNLISTED for before in AROUND for after in ("", AROUND[4])]
+        named = np.array([k > 0 for k in family] + [True] * len(unlisted) + [False] * len(negatives))
+        texts, family = texts + unlisted + negatives, np.array(family + [0] * (len(unlisted) + len(negatives)))
         rows = [np.unique(np.concatenate(_codes(t) or [np.zeros(0, np.uint64)])) for t in texts]
-        notices = np.unique(np.concatenate([r for r, k in zip(rows, family) if k]))
+        notices = np.unique(np.concatenate([r for r, k in zip(rows, named) if k]))
         self.codes = notices
         at = [np.searchsorted(notices, r[np.isin(r, notices)]) for r in rows]
         held = np.arange(len(texts)) % 5 == 4
@@ -132,9 +175,11 @@ class LicenceModel:
         self.temperature = self._calibrate([a for a, h in zip(at, held) if h], family[held])
         self.sieve = np.zeros(1 << 16, bool)
         self.sieve[notices >> np.uint64(48)] = True
-        self.templates = [(k, _codes(n)[min(1, len(_codes(n)) - 1)]) for k, (_, ns) in
-                          enumerate(TEMPLATES.items(), 1) for n in ns]
-        self.pairs = np.unique(np.concatenate([c for _, c in self.templates]))
+        self.templates = []
+        for k, (name, ns) in enumerate(TEMPLATES.items(), 1):
+            for n in ns:
+                pairs = np.unique(np.searchsorted(notices, _codes(n)[1]))
+                self.templates.append((k, pairs, len(_words(n)), *deciding(name, n)))
 
     @classmethod
     def of(cls, state: dict) -> "LicenceModel":
@@ -180,28 +225,79 @@ class LicenceModel:
 
         return min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
 
-    def classify(self, chunk: Chunk):
-        """(text, family, probability, containment) of paragraphs that hold n-grams of notices."""
-        words, paragraph, owner = paragraph_words(chunk)
-        rows, found = [], []
-        for p, codes in grams(words, paragraph):
+    def _judged(self, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, best family, its probability) of rows that hold n-grams of notices, and all (row, n-gram) as one number."""
+        pairs = np.unique(rows * len(self.codes) + at)
+        held, row = np.unique(pairs // len(self.codes), return_inverse=True)
+        p = self.probabilities(row, pairs % len(self.codes), len(held))
+        best = p[:, 1:].argmax(axis=1) + 1 if len(held) else np.zeros(0, np.int64)
+        return held, best, p[np.arange(len(held)), best], pairs
+
+    @staticmethod
+    def _decided(words: np.ndarray, needed: list[np.ndarray], refused: np.ndarray) -> bool:
+        return all(np.isin(x, words).any() for x in needed) and not np.isin(refused, words).any()
+
+    def classify(self, chunk: Chunk, contained: float = CONTAINED):
+        """(text, family, probability, containment) of each family of each paragraph that holds n-grams of notices;
+        the containment is 0 where the deciding words do not agree."""
+        words, line, paragraph, owner = paragraph_words(chunk)
+        starts, lasts, codes_at = [], [], []
+        for n, (first, codes) in enumerate(grams(words, paragraph), 1):
             near = self.sieve[codes >> np.uint64(48)]
-            p, codes = p[near], codes[near]
+            first, codes = first[near], codes[near]
             at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
             hit = self.codes[at] == codes
-            rows.append(p[hit])
-            found.append(at[hit])
-        pairs = np.unique(np.concatenate(rows) * len(self.codes) + np.concatenate(found)) if rows else np.zeros(0, np.int64)
-        held, rows = np.unique(pairs // len(self.codes), return_inverse=True)
-        p = self.probabilities(rows, pairs % len(self.codes), len(held))
-        best = p[:, 1:].argmax(axis=1) + 1 if len(held) else np.zeros(0, np.int64)
-        sure = np.flatnonzero(p[np.arange(len(held)), best] >= THRESHOLD) if len(held) else best
-        first = np.searchsorted(rows, np.arange(len(held) + 1))
-        contained = np.zeros(len(sure))
-        for i, k in enumerate(sure):
-            own = self.codes[pairs[first[k] : first[k + 1]] % len(self.codes)]
-            contained[i] = max(np.isin(c, own).mean() for f, c in self.templates if f == best[k])
-        return owner[held[sure]], best[sure], p[sure, best[sure]], contained
+            starts.append(first[hit])
+            lasts.append(first[hit] + n - 1)
+            codes_at.append(at[hit])
+        start, last, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, lasts, codes_at))
+        order = np.argsort(start, kind="stable")
+        start, last, at = start[order], last[order], at[order]
+        found: dict[tuple[int, int], tuple[float, float]] = {}
+
+        def note(where: int, family: int, p: float, share: float) -> None:
+            old = found.get((where, family), (-1.0, 0.0))
+            found[where, family] = max(old, (share, p))
+
+        # Lines, and paragraphs of several lines.
+        in_line = line[start] == line[last]
+        lines_of = np.bincount(paragraph[np.flatnonzero(np.diff(line, prepend=-1))], minlength=len(owner))
+        wrapped = lines_of[paragraph[start]] > 1
+        for unit, rows, cols in ((line, line[start[in_line]], at[in_line]),
+                                 (paragraph, paragraph[start[wrapped]], at[wrapped])):
+            held, best, p, pairs = self._judged(rows, cols)
+            for k in np.flatnonzero(p >= THRESHOLD):
+                low, high = np.searchsorted(pairs, (held[k] * len(self.codes), (held[k] + 1) * len(self.codes)))
+                own = pairs[low:high] % len(self.codes)
+                a, b = np.searchsorted(unit, held[k]), np.searchsorted(unit, held[k], "right")
+                share = max(np.isin(c, own).mean() if self._decided(words[a:b], *rule) else 0.0
+                            for f, c, _, *rule in self.templates if f == best[k])
+                note(int(paragraph[a]), int(best[k]), float(p[k]), float(share))
+        # Runs of words of about a template's length, wherever they stand in a paragraph.
+        two = last == start + 1
+        two_start, two_at = start[two], at[two]
+        ends = np.searchsorted(paragraph, np.arange(len(owner)), "right")
+        for family, pairs, length, *rule in self.templates:
+            mine = np.isin(two_at, pairs)
+            s, c = two_start[mine], two_at[mine]
+            limit = np.minimum(s + length + max(4, length // 4), ends[paragraph[s]])
+            stop, need = np.searchsorted(s + 2, limit, "right"), contained * len(pairs)
+            for i in np.flatnonzero(stop - np.arange(len(s)) >= need):
+                where = int(paragraph[s[i]])
+                if found.get((where, family), (0.0, 0.0))[0] >= contained:
+                    continue
+                share = len(np.unique(c[i : stop[i]])) / len(pairs)
+                a, b = s[i], s[stop[i] - 1] + 2
+                if share < contained or not self._decided(words[a:b], *rule):
+                    continue
+                low, high = np.searchsorted(start, (a, b))
+                own = at[low:high][last[low:high] < b]
+                _, best, p, _ = self._judged(np.zeros(len(own), np.int64), own)
+                if best[0] == family and p[0] >= THRESHOLD:
+                    note(where, family, float(p[0]), share)
+        keys = sorted(found)
+        return (owner[[w for w, _ in keys]] if keys else np.zeros(0, np.int64), np.array([f for _, f in keys], np.int64),
+                np.array([found[k][1] for k in keys], float), np.array([found[k][0] for k in keys], float))
 
 
 def train(docs: DataFrame, text: str = "text", negatives: int = NEGATIVES) -> LicenceModel:
@@ -220,8 +316,8 @@ FOUND = T.ArrayType(T.StructType([T.StructField("family", T.StringType()), T.Str
 
 
 def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, paragraphs: family, probability and containment of each paragraph that the classifier puts in a
-    family, in reading order) per row of ``docs``."""
+    """(doc_id, paragraphs: family, probability and containment of each family that the classifier finds in a
+    paragraph, in reading order) per row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("paragraphs", FOUND)])
 
@@ -243,7 +339,7 @@ def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text: str
 
 def licences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", contained: float = CONTAINED) -> DataFrame:
     """Per row of ``docs``: doc_id, licences (the confirmed families, sorted), n_confirmed and n_unconfirmed
-    paragraphs."""
+    (families of paragraphs)."""
     found = scan(docs, train(docs, text), id_col, text)
     sure = F.filter("paragraphs", lambda p: p["contained"] >= contained)
     return found.select(
