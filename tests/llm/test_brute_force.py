@@ -70,6 +70,33 @@ def test_mix_meets_targets(spark):
     assert all(abs(v[0] - k[1]) <= mixing.BLOCK for k, v in by_source.items())
 
 
+def test_draw_deals_the_sources_and_blocks_hold_their_words(spark):
+    docs, per_shard = spark.read.parquet(f"{SF}/documents.parquet"), 64
+    placed, draw, packed = mixing.write_packed(docs, per_shard=per_shard)
+    slots = [(r["shard"], r["place"], r["rank"]) for r in draw.collect()]
+    assert sorted(s[0] * per_shard + s[1] for s in slots) == list(range(len(slots))) and len(slots) > 10 * per_shard
+    share = {k: sum(s[2] == k for s in slots) / len(slots) for k in {s[2] for s in slots}}
+    counts = {}
+    for shard, _, rank in slots:
+        counts[shard, rank] = counts.get((shard, rank), 0) + 1
+    off = [(counts.get((d, k), 0) - per_shard * p) / (per_shard * p * (1 - p)) ** 0.5
+           for d in range(len(slots) // per_shard) for k, p in share.items()]
+    assert max(map(abs, off)) < 5 and 0.5 < np.std(off) < 1.5
+
+    known, of = texts(spark), {(r["rank"], r["start"]): r["doc_id"] for r in placed.where("size > 0").collect()}
+    blocks = packed.collect()
+    assert sorted((r["shard"], r["place"], r["rank"]) for r in blocks) == sorted(slots)
+    taken = {}
+    for r in blocks:
+        for piece in r["pieces"]:
+            doc, low = of[r["rank"], piece["start"]], max(r["block_no"] * mixing.BLOCK - piece["start"], 0)
+            words = re.findall(r"[^\x20\x09-\x0D]+", known[doc])[low:low + piece["n"]]
+            assert re.findall(r"[^\x20\x09-\x0D]+", piece["words"]) == words and len(words) == piece["n"]
+            taken[doc] = taken.get(doc, 0) + piece["n"]
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()} == {d: taken.get(d, 0) for d in known}
+    assert {r["doc_id"]: r["taken"] for r in q.op2_source_mixing(spark, SF).collect()} == {d: taken.get(d, 0) for d in known}
+
+
 def test_shares_fill_up_to_three_times(spark):
     sizes = spark.createDataFrame([(False, "a", 10), (False, "b", 1000), (False, "c", 500)],
                                   "no_source boolean, source_key string, source_size long")
@@ -83,6 +110,16 @@ def test_permutation_is_one_to_one(spark):
         assert sorted(r["p"] for r in got) == list(range(n))
 
 
+def test_deal_is_one_to_one_and_like_a_draw(spark):
+    n, size = 200_000, 4096
+    x, y = np.array(spark.range(n).select("id", mixing.dealt("id", f"{n}L")).collect()).T
+    assert len(np.unique(y)) == n and y.min() == 0 and y.max() == n - 1
+    for low, high in ((0, 0.05), (0.05, 0.3), (0.3, 1)):
+        own, p = (x >= low * n) & (x < high * n), high - low
+        counts = np.bincount(y[own] // size, minlength=n // size + 1)[:n // size]
+        assert 0.6 < np.std((counts - size * p) / (size * p * (1 - p)) ** 0.5) < 1.4
+
+
 def test_lookup_table_is_even_and_moves_little():
     one, two = sharding.lookup_table(), sharding.lookup_table(sharding.SHARDS[:-1])
     counts = np.bincount(one)

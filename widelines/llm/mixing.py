@@ -6,7 +6,9 @@ number its takes of blocks: whole passes, then a part of one more, cut so that t
 block. Slot j of a pass is mapped through that pass's pseudorandom permutation of the source's blocks, and slots and
 the blocks that documents lie in are joined by (source, block). All slots together are permuted once more and dealt
 to output shards of ``per_shard`` slots: each shard's source counts are a multinomial draw conditioned on the targets
-(so that targets are met and not only expected).
+(so that targets are met and not only expected). The draw is stored in the shared folder, and so are the packed
+blocks: for each shard and place the words of its block, text by text, joined to the draw by (source, block). What is
+taken of a text is counted in the packed blocks.
 
 Permutations are swap-or-not networks on [0, n), computed per row: nothing is sorted, reruns agree.
 
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from widelines.llm.storage import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: A word with the blanks after it, so that a packed text keeps its lines.
+SPACED_WORD = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 WEIGHTS = (5, 2, 1)
 BLOCK = 64
 PER_SHARD = 4096
@@ -33,6 +37,8 @@ MOST = 3
 CHUNK_ROWS = 4_000
 PRIME = 2**31 - 1
 ROUNDS = 8
+#: A shard's slots come from 2 ** DEAL_ROUNDS places: far more than it has, or its source counts spread too much.
+DEAL_ROUNDS = 24
 
 
 def word_count(text: str = "text") -> Column:
@@ -48,6 +54,14 @@ def permuted(x: str, n: str, seed: str) -> Column:
     return F.expr(f"aggregate(sequence(0L, {ROUNDS - 1}L), {x}, (x, r) -> if({coin} = 1, {other}, x))")
 
 
+def dealt(x: str, n: str) -> Column:
+    """As ``permuted``, with turns and coins by hash and enough rounds that neighbours are dealt independently."""
+    turn = f"pmod(xxhash64(r, 20240229L), {n})"
+    other = f"pmod({turn} - x, {n})"
+    coin = f"pmod(xxhash64(greatest(x, {other}), r), 2L)"
+    return F.expr(f"aggregate(sequence(0L, {DEAL_ROUNDS - 1}L), {x}, (x, r) -> if({coin} = 1, {other}, x))")
+
+
 def shares(sizes: DataFrame, most: int = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """``sizes`` (no_source, source_key, source_size) with rank, weight and target: the total shared by weight, filled
     up to a common level per weight at which no source is above ``most`` times its size."""
@@ -92,19 +106,19 @@ def slots(sources: DataFrame, block: int = BLOCK, per_shard: int = PER_SHARD, ba
             .withColumn("pass", F.expr("slot div blocks")).withColumn("at", F.expr("slot % blocks"))
             .withColumn("block_no", permuted("at", "blocks", "rank * 4 + pass"))
             .withColumn("words", F.expr(f"if(pass < passes, {block}L, least({block}L, rest - at * {block}))"))
-            .withColumn("position", permuted("first_slot + slot", "all_slots", "-1")))
+            .withColumn("position", dealt("first_slot + slot", "all_slots")))
     return rows.select("rank", "slot", "pass", "block_no", "words",
                        F.expr(f"position div {per_shard}").alias("shard"),
                        F.expr(f"position % {per_shard}").alias("place"))
 
 
 def laid_out(docs: DataFrame, id_col: str, rows: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``docs`` (with ``size``, ``no_source``, ``source_key``) with ``start``: words of its source before it."""
+    """``docs`` (with ``size``, ``text_hash``, ``no_source``, ``source_key``) with ``start``: words of its source before it."""
     n = max(1, math.ceil(rows / chunk_rows))
     key = F.expr(f"pmod(coalesce({id_col}, size), {PRIME}) * 48271 % {PRIME}")
     docs = docs.withColumn("order_key", key).withColumn("chunk", F.expr(f"order_key * {n} div {PRIME}"))
     own = ["no_source", "source_key", "chunk"]
-    before = Window.partitionBy(*own).orderBy("order_key", id_col, "size").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*own).orderBy("order_key", id_col, "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     chunks = docs.groupBy(*own).agg(F.sum("size").alias("chunk_size")).withColumn(
         "chunk_start", F.coalesce(F.sum("chunk_size").over(Window.partitionBy("no_source", "source_key").orderBy(
             "chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
@@ -112,32 +126,83 @@ def laid_out(docs: DataFrame, id_col: str, rows: int, chunk_rows: int = CHUNK_RO
             .join(chunks.drop("chunk_size"), own).withColumn("start", F.col("chunk_start") + F.col("within")))
 
 
+def _sized(docs: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), word_count(text).alias("size"), F.xxhash64(text).alias("text_hash"),
+        F.col(source).alias("source"), F.col(source).isNull().alias("no_source"),
+        F.coalesce(F.col(source), F.lit("")).alias("source_key"), F.col(text).alias("text"))
+
+
+def _drawn(sized: DataFrame, block: int, most: int, weights: tuple[int, ...], per_shard: int) -> tuple[DataFrame, DataFrame]:
+    """Sources with their targets, and the stored draw: shard, place, rank, block_no, words (taken of the block)."""
+    sources = stored(shares(sized.groupBy("no_source", "source_key").agg(F.sum("size").alias("source_size")), most, weights), "sources")
+    draw = slots(with_slots(sources, block, most), block, per_shard).select("shard", "place", "rank", "block_no", "words")
+    return sources, stored(draw, "draw")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK,
-        most: int = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source, source_size, target (of its source), taken (words, repeats counted).
-    ``id_col`` must be an integer column."""
-    sized = stored(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), word_count(text).alias("size"), F.col(source).alias("source"),
-        F.col(source).isNull().alias("no_source"), F.coalesce(F.col(source), F.lit("")).alias("source_key")), "sized")
+        most: int = MOST, weights: tuple[int, ...] = WEIGHTS, per_shard: int = PER_SHARD) -> DataFrame:
+    """Per row of ``docs``: doc_id, size, source, source_size, target (of its source), taken (words, repeats counted),
+    by the draw alone. ``id_col`` must be an integer column."""
     names = ["no_source", "source_key"]
-    sources = stored(shares(sized.groupBy(*names).agg(F.sum("size").alias("source_size")), most, weights), "sources")
-    planned = with_slots(sources, block, most)
-    takes = slots(planned, block).groupBy("rank", "block_no").agg(
+    sized = stored(_sized(docs, id_col, text, source).drop("text"), "sized")
+    sources, draw = _drawn(sized, block, most, weights, per_shard)
+    takes = draw.groupBy("rank", "block_no").agg(
         F.sum(F.expr(f"int(words = {block})")).alias("whole"), F.sum(F.expr(f"if(words < {block}, words, 0L)")).alias("part"))
-    placed = stored(laid_out(sized, "doc_id", sized.count()).join(sources, names).withColumn(
-        "row", F.monotonically_increasing_id()), "placed")
+    placed = stored(laid_out(sized, "doc_id", sized.count()).join(sources, names), "placed")
     pieces = (placed.where("size > 0").select(
-        "row", "rank", "start", "size",
+        "rank", "start", "size",
         F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block_no"))
         .join(takes, ["rank", "block_no"]))
     low = f"greatest(start, block_no * {block})"
     taken = (f"whole * (least(start + size, (block_no + 1) * {block}) - {low}) + "
              f"greatest(0L, least(start + size, block_no * {block} + part) - {low})")
-    summed = pieces.groupBy("row").agg(F.sum(F.expr(taken)).alias("taken"))
-    return placed.join(summed, "row", "left").select(
+    return _with_taken(placed, pieces.groupBy("rank", "start").agg(F.sum(F.expr(taken)).alias("taken")))
+
+
+def _with_taken(placed: DataFrame, summed: DataFrame) -> DataFrame:
+    """Texts with words are told apart by rank and start."""
+    summed = summed.withColumn("has_words", F.lit(True))
+    return placed.withColumn("has_words", F.col("size") > 0).join(summed, ["rank", "start", "has_words"], "left").select(
         "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
+def write_packed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK,
+                 most: int = MOST, weights: tuple[int, ...] = WEIGHTS,
+                 per_shard: int = PER_SHARD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The mix as stored tables: texts (doc_id, size, source, source_size, target, rank, start), the draw, and the packed
+    blocks (shard, place, rank, block_no, pieces: start of the text, n words, words), one row per slot of the draw."""
+    names = ["no_source", "source_key"]
+    whole = _sized(docs, id_col, text, source)
+    sized = stored(whole.drop("text"), "sized")
+    sources, draw = _drawn(sized, block, most, weights, per_shard)
+    rows = sized.count()
+    placed = stored(laid_out(sized, "doc_id", rows).join(sources, names), "placed")
+    laid = laid_out(whole.where("size > 0"), "doc_id", rows).join(F.broadcast(sources.select(*names, "rank")), names)
+    first, last = f"greatest(b * {block}, start)", f"least((b + 1) * {block}, start + size)"
+    # The words are an argument of the outer function, so that a text is cut once and not once per block.
+    cut = F.expr(
+        f"transform(array(regexp_extract_all(text, '{SPACED_WORD}', 0)), w -> transform("
+        f"sequence(start div {block}, (start + size - 1) div {block}), b -> named_struct('block_no', b, "
+        f"'at', {first} - b * {block}, 'n', {last} - {first}, "
+        f"'words', array_join(slice(w, int({first} - start + 1), int({last} - {first})), ''))))[0]".replace("\\", "\\\\"))
+    pieces = laid.select("rank", "start", F.explode(cut).alias("piece")).select("rank", "start", "piece.*")
+    taken = pieces.join(draw.withColumnRenamed("words", "limit"), ["rank", "block_no"]).where("at < limit")
+    short = f"array_join(slice(regexp_extract_all(words, '{SPACED_WORD}', 0), 1, int(limit - at)), '')".replace("\\", "\\\\")
+    taken = taken.withColumn("words", F.expr(f"if(at + n > limit, {short}, words)")).withColumn("n", F.expr("least(n, limit - at)"))
+    packed = taken.groupBy("rank", "block_no", "shard", "place").agg(
+        F.sort_array(F.collect_list(F.struct("start", "n", "words"))).alias("pieces"))
+    return placed, draw, stored(packed.select("shard", "place", "rank", "block_no", "pieces"), "packed")
+
+
+def mix_packed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """As ``mix``, with the words taken counted in the packed blocks, which are written to the shared folder."""
+    placed, _, packed = write_packed(docs, id_col, text, source)
+    taken = packed.select("rank", F.explode(F.arrays_zip("pieces.start", "pieces.n")).alias("piece")).groupBy(
+        "rank", F.col("piece.start").alias("start")).agg(F.sum("piece.n").alias("taken"))
+    return _with_taken(placed, taken)
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` as the mix takes them: each row as often as the mix takes its words, 0 to ``MOST`` times. A broken
     number of times is rounded up or down by a hash of the id, so that a source's words stay near its target."""
