@@ -143,3 +143,11 @@ def test_reconciliation_equals_individual_checks(spark):
     assert (s_row.source_total, f_row.denormalized_total) == (fin.source_total,
                                                               fin.denormalized_total)
     assert checks.reconciled_financial_ok(f_row, s_row) is fin.passed is False
+
+
+def test_repeated_keys_are_counted(spark):
+    src = make_sources(spark, customers=[customer(1)], orders=[order(1, 1), order(2, 1), order(3, 1)])
+    twice = src.sales_order.withColumn("invoice_number", F.when(F.col("order_id") < 3, "i"))
+    src = src.with_tables(sales_order=twice.union(twice.where("order_id = 1")))
+    assert _as_dict(checks.uniqueness(src)) == {"Repeated order_id in sales_order": 1,
+                                               "Repeated invoice_number in sales_order": 1}

@@ -37,6 +37,9 @@ NULL_LABELS = ["sales_order_fact: NULL order_id", "sales_order_fact: NULL custom
                "sales_order_fact: NULL total_amount", "sales_order_line_items: NULL order_id",
                "sales_order_line_items: NULL line_total"]
 NEGATIVE_LABELS = ["Negative quantities in line items", "Negative prices in line items"]
+ORDER_TYPES = ("Parts", "Service", "Mixed")
+ORDER_TYPE_LABEL = "Source orders with an unknown order_type"
+UNIQUE_KEYS = ("order_id", "invoice_number")
 MISMATCH_LABELS = ["Orders with mismatched parts count", "Orders with mismatched services count"]
 
 
@@ -121,6 +124,24 @@ def missing_from_fact(src: Sources, fact: DataFrame) -> DataFrame:
                        "check_name", "issue_count")
 
 
+def _unknown_type() -> Column:
+    """A NULL type passes, as it passes the source's CHECK."""
+    return F.count_if(~F.col("order_type").isin(*ORDER_TYPES))
+
+
+def order_type_check(src: Sources) -> DataFrame:
+    """Source orders whose type is none of the three that the source's CHECK allows."""
+    return src.sales_order.agg(_unknown_type().alias("issue_count")).select(
+        F.lit(ORDER_TYPE_LABEL).alias("check_name"), "issue_count")
+
+
+def uniqueness(src: Sources) -> DataFrame:
+    """Keys of the source orders that several orders share (NULLs are not counted)."""
+    return _union_all([_count_rows(src.sales_order.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1"),
+                                   f"Repeated {key} in sales_order", "check_name", "issue_count")
+                       for key in UNIQUE_KEYS])
+
+
 def null_checks(fact: DataFrame, lines: DataFrame) -> DataFrame:
     """VAL-05/06: NULLs in critical columns, one pass per table."""
     f = fact.agg(
@@ -205,7 +226,7 @@ def financial_totals_pair(src: Sources, fact: DataFrame) -> DataFrame:
 def all_issue_checks(src: Sources, fact: DataFrame, lines: DataFrame) -> DataFrame:
     """Every counting check in one frame; a clean build has all issue counts 0."""
     return _union_all([orphan_checks(src, fact, lines), missing_from_fact(src, fact),
-                       null_checks(fact, lines), negative_checks(lines),
+                       order_type_check(src), null_checks(fact, lines), negative_checks(lines),
                        count_mismatch(src, fact)])
 
 
@@ -218,7 +239,8 @@ def all_issue_checks(src: Sources, fact: DataFrame, lines: DataFrame) -> DataFra
 #   orders carrying their recomputed line counts: orphans, missing customers,
 #   NULLs, count mismatches and the fact's revenue;
 # * source side: the source orders LEFT JOIN the fact's distinct keys: orders
-#   missing from the fact and the source revenue, every source row once;
+#   missing from the fact, unknown order types and the source revenue, every
+#   source row once;
 # * lines: the lines LEFT JOIN the source order keys: orphans, NULLs, negatives.
 #
 # The counts equal the individual checks, NULL keys included (a NULL key
@@ -227,7 +249,7 @@ def all_issue_checks(src: Sources, fact: DataFrame, lines: DataFrame) -> DataFra
 
 FACT_COUNT_LABELS = [ORPHAN_LABELS[0], ORPHAN_LABELS[1], NULL_LABELS[0], NULL_LABELS[1],
                      NULL_LABELS[2], MISMATCH_LABELS[0], MISMATCH_LABELS[1]]
-SOURCE_COUNT_LABELS = ["Source orders missing from sales_order_fact"]
+SOURCE_COUNT_LABELS = ["Source orders missing from sales_order_fact", ORDER_TYPE_LABEL]
 LINE_COUNT_LABELS = [ORPHAN_LABELS[2], NULL_LABELS[3], NULL_LABELS[4], NEGATIVE_LABELS[0],
                      NEGATIVE_LABELS[1]]
 
@@ -258,11 +280,12 @@ def reconcile_fact(src: Sources, fact: DataFrame,
 
 
 def reconcile_source(src: Sources, fact: DataFrame) -> DataFrame:
-    """One row: source orders missing from the fact and the source revenue total."""
+    """One row: source orders missing from the fact or of an unknown type, and the source revenue total."""
     keys = fact.select("order_id").distinct().withColumn("_in_fact", F.lit(True))
-    j = src.sales_order.select("order_id", "total_amount").join(keys, "order_id", "left")
+    j = src.sales_order.select("order_id", "order_type", "total_amount").join(keys, "order_id", "left")
     return j.agg(
         F.count_if(F.col("_in_fact").isNull()).alias("c0"),
+        _unknown_type().alias("c1"),
         F.sum("total_amount").alias("source_total"),
     )
 

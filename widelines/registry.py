@@ -453,6 +453,25 @@ def q_val_count_mismatch(spark, sf_dir):
     return checks.count_mismatch(src, sales_order_fact(src))
 
 
+@register("val_uniqueness", """
+SELECT 'Repeated order_id in sales_order' AS check_name, count(*) AS issue_count
+FROM (SELECT order_id FROM src_sales_order WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)
+UNION ALL
+SELECT 'Repeated invoice_number in sales_order', count(*)
+FROM (SELECT invoice_number FROM src_sales_order WHERE invoice_number IS NOT NULL
+      GROUP BY invoice_number HAVING count(*) > 1)""")
+def q_val_uniqueness(spark, sf_dir):
+    return checks.uniqueness(_src(spark, sf_dir))
+
+
+@register("val_order_type", """
+SELECT 'Source orders with an unknown order_type' AS check_name,
+       count(*) FILTER (WHERE order_type NOT IN ('Parts', 'Service', 'Mixed')) AS issue_count
+FROM src_sales_order""")
+def q_val_order_type(spark, sf_dir):
+    return checks.order_type_check(_src(spark, sf_dir))
+
+
 @register("pipeline_summary", """
 WITH ok AS (
     SELECT coalesce(abs((SELECT sum(total_amount) FROM src_sales_order)
