@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from widelines.llm import queries as q
-from widelines.llm import licenses, mixing, sharding
+from widelines.llm import licenses, mixing, sharding, url_filter
 from widelines.llm.token_codec import decode_block, encode_block
 
 SF = "/root/testdata/sf0.001"
@@ -204,3 +204,10 @@ def test_licences_of_wrapped_notices(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["licences"] for r in licenses.licences(docs).collect()}
     assert {k: (rows[k][1], v) for k, v in got.items() if v != want[k]} == {}
+
+
+def test_trees_are_trained_with_a_rare_class(spark):
+    rows = [(k, f"https://site{k}.com/page{k}") for k in range(2000)] + [(5000, "https://a.net/es/x"), (6000, "https://b.org/x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = url_filter.judge(pages, max_rows=20, trees=2)
+    assert got.where("p_block is null").count() == 0 and got.where("verdict = 'block' and rule is not null").count() == 1

@@ -2,8 +2,8 @@
 
 Features: length, depth, digit ratio, character entropy, parameters, hyphens, host labels, longest label, file suffix,
 and the suffix statistics: how often labelled URLs of the same host ending are blocked (smoothed to the overall rate;
-counted over all labelled URLs by an aggregation). The trees are trained on a bounded sample of the URLs that a rule
-labels; they give the verdict where no rule fits.
+counted over all labelled URLs by an aggregation). The trees are trained on a bounded sample of each class of the URLs
+that a rule labels, weighted to the class's size; they give the verdict where no rule fits.
 
 Rules are pairs of host ending and path start; the longest rule that fits wins. They are a short list and become one
 expression.
@@ -36,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
          ("net/fr/", "block"))
 LEXICAL = ("length", "depth", "digit_ratio", "entropy", "parameters", "hyphens", "labels", "longest_label", "dotted")
-#: Labelled URLs that the trees are trained on, about; smoothing of the suffix statistics, in URLs.
+#: Labelled URLs of each class that the trees are trained on, about; smoothing of the suffix statistics, in URLs.
 MAX_ROWS = 20_000
 SMOOTHING = 20
 
@@ -99,9 +99,13 @@ def judge(pages: DataFrame, id_col: str = "page_id", url: str = "url", rules=RUL
     seen = seen.withColumn("rule", first_fitting(rules)).withColumn("by_rule", by_rule)
     seen = seen.withColumn("ending", F.substring_index("host", ".", -1))
     blocked = (F.col("by_rule") == "block").cast("double")
+    place = F.pmod(F.xxhash64("page_id", "url"), F.lit(2**31))
     endings = stored(seen.where("by_rule is not null").groupBy("ending").agg(
-        F.count("*").alias("seen"), F.sum(blocked).alias("blocked")), "endings")
-    total = endings.agg(F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
+        F.count("*").alias("seen"), F.sum(blocked).alias("blocked"),
+        F.min(F.when(blocked == 0, place)).alias("first_allowed"), F.min(F.when(blocked == 1, place)).alias("first_blocked")),
+        "endings")
+    total = endings.agg(F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0.0)),
+                        F.min("first_allowed"), F.min("first_blocked")).first()
     n, bad = int(total[0]), float(total[1])
     if bad in (0.0, float(n)):
         only = "block" if n and bad else "allow"
@@ -109,19 +113,18 @@ def judge(pages: DataFrame, id_col: str = "page_id", url: str = "url", rules=RUL
                            F.lit(None).cast("double").alias("p_block"))
     rate = bad / n
     ending_rate = (F.coalesce("blocked", F.lit(0.0)) + SMOOTHING * rate) / (F.coalesce("seen", F.lit(0)) + SMOOTHING)
-    known = lexical(seen).join(endings, "ending", "left").withColumn("ending_rate", ending_rate)
+    known = lexical(seen).join(endings.select("ending", "seen", "blocked"), "ending", "left").withColumn("ending_rate", ending_rate)
     vector = VectorAssembler(inputCols=[*LEXICAL, "ending_rate"], outputCol="features")
-    share = min(1.0, max_rows / n)
-    sample = known.where("by_rule is not null").where(
-        F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000)) < int(share * 1_000_000)).withColumn("label", blocked)
-    sample = stored(vector.transform(sample.select("label", *LEXICAL, "ending_rate")).select("label", "features"), "train")
-    if sample.select("label").distinct().count() < 2:
-        share, model = 0.0, None
-    else:
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=11, maxBins=32).fit(sample.coalesce(1))
-    if model is None:
-        return seen.select("page_id", "host", "path", "rule", F.coalesce(
-            "by_rule", F.lit("block" if 2 * bad > n else "allow")).alias("verdict"), F.lit(None).cast("double").alias("p_block"))
+    # Of each class, what lies below its bound, the first URL in any case.
+    shares = [min(1.0, max_rows / (n - bad)), min(1.0, max_rows / bad)]
+    bounds = [max(int(x * 2**31), first + 1) for x, first in zip(shares, total[2:])]
+    of_class = lambda values: F.when(blocked == 1, F.lit(values[1])).otherwise(F.lit(values[0]))
+    sample = known.where("by_rule is not null").where(place < of_class(bounds)).withColumn("label", blocked).withColumn(
+        "weight", of_class([1 / x for x in shares]))
+    sample = stored(vector.transform(sample.select("label", "weight", *LEXICAL, "ending_rate")).select(
+        "label", "weight", "features"), "train")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=11, maxBins=32, weightCol="weight").fit(
+        sample.coalesce(1))
     from pyspark.ml.functions import vector_to_array
 
     scored = model.transform(vector.transform(known)).withColumn("p_block", vector_to_array("probability")[1])
