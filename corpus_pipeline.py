@@ -45,7 +45,7 @@ STAGES = [
     ("maglev_sharding", maglev_sharding),
 ]
 
-#: Not expressible as one SQL statement of reasonable size; tested stage by stage against brute force.
+#: Not expressible as one SQL statement of reasonable size; tested on edge rows, not yet against brute force.
 ORACLE_SQL = None
 
 
