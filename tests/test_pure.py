@@ -10,7 +10,8 @@ from widelines.plans.layouts import LAYOUTS, writer_options
 from widelines.schemas import WIDE
 
 
-def _rows(fact=(0,) * 7, source=(0,), lines=(0,) * 5, s_total="10.00", d_total="10.00"):
+def _rows(fact=(0,) * len(checks.FACT_COUNT_LABELS), source=(0,) * len(checks.SOURCE_COUNT_LABELS),
+          lines=(0,) * len(checks.LINE_COUNT_LABELS), s_total="10.00", d_total="10.00"):
     f = {f"c{i}": v for i, v in enumerate(fact)} | {"denormalized_total": d_total and Decimal(d_total)}
     s = {f"c{i}": v for i, v in enumerate(source)} | {"source_total": s_total and Decimal(s_total)}
     li = {f"c{i}": v for i, v in enumerate(lines)}
@@ -18,15 +19,16 @@ def _rows(fact=(0,) * 7, source=(0,), lines=(0,) * 5, s_total="10.00", d_total="
 
 
 def test_reconciled_issue_labels_cover_every_check():
-    f, s, li = _rows(fact=(1, 2, 3, 4, 5, 6, 7), source=(8,), lines=(9, 10, 11, 12, 13))
+    f, s, li = _rows(fact=(1, 2, 3, 4, 5, 6, 7), source=(8, 14), lines=(9, 10, 11, 12, 13))
     issues = checks.reconciled_issues(f, s, li)
     assert issues["Orphaned orders in sales_order_fact"] == 1
     assert issues["Orders with mismatched services count"] == 7
     assert issues["Source orders missing from sales_order_fact"] == 8
+    assert issues[checks.ORDER_TYPE_LABEL] == 14
     assert issues["Negative prices in line items"] == 13
     labels = set(checks.ORPHAN_LABELS + checks.NULL_LABELS + checks.NEGATIVE_LABELS
                  + checks.MISMATCH_LABELS)
-    assert labels <= set(issues) and len(issues) == len(labels) + 1
+    assert labels <= set(issues) and len(issues) == len(labels) + len(checks.SOURCE_COUNT_LABELS)
 
 
 def test_reconciled_financial_tolerance():
