@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widelines.llm import (decontaminate, licenses, line_templates, mixing, near_dup, quality, sharding, token_output,
-                           toxicity, url_filter)
+from widelines.llm import (decontaminate, licenses, line_templates, mixing, near_dup, quality, repeats, sharding,
+                           token_output, toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,11 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.drop_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_line_templates": op9_line_templates,
     "op10_token_output": op10_token_output,
+    "op12_substring_dedup": op12_substring_dedup,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -163,6 +169,17 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    "op12_substring_dedup": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+p AS (SELECT r, doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+      FROM (SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d)),
+later AS (SELECT r, i FROM (SELECT r, i, rank() OVER (PARTITION BY s ORDER BY doc_id NULLS LAST, i) AS k FROM p) WHERE k > 1),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 19)) AS k FROM later),
+word AS (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS k FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept
+         FROM word ANTI JOIN gone USING (r, k) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)""",
     "op9_line_templates": rf"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
 l AS (

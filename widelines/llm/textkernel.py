@@ -96,7 +96,7 @@ class Chunk:
         return starts[by_start], ends[by_end], np.concatenate([[0], np.cumsum(counts)])
 
 
-def chunks(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[Chunk]:
+def chunks(column: pa.Array | pa.ChunkedArray, lower: bool = False, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """The column's texts in chunks; null is taken as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -106,7 +106,7 @@ def chunks(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[
     data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(bounds, bounds[first] + CHUNK_BYTES, "right")) - 1
+        last = int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1
         last = min(max(last, first + 1), len(column))
         part = data[bounds[first] : bounds[last]]
         yield Chunk(first, last, LOWER[part] if lower else part, bounds[first : last + 1] - bounds[first])
