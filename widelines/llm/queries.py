@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from widelines.llm import (decontaminate, licenses, line_templates, mixing, near_dup, quality, repeats, sharding,
-                           token_output, toxicity, url_filter)
+                           spelling, token_output, toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,10 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
@@ -84,6 +88,7 @@ QUERIES = {
     "op9_line_templates": op9_line_templates,
     "op10_token_output": op10_token_output,
     "op12_substring_dedup": op12_substring_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -180,6 +185,37 @@ kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept
          FROM word ANTI JOIN gone USING (r, k) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+b AS (
+  SELECT run, n, flatten(list_transform(string_split(id || ':' || run, ''),
+           lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c) - 64] END)) AS bytes
+  FROM (SELECT id, run, count(*) AS n FROM run GROUP BY ALL)),
+h AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+           lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]))) AS h FROM b, crc),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+             n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS s
+         FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+cut AS (SELECT DISTINCT less.word AS a, less.n AS a_n, v.word AS b, v.n AS b_n FROM less JOIN v ON v.word = less.s),
+near AS (
+  SELECT a AS word, b AS near, b_n AS near_n FROM cut UNION ALL SELECT b, a, a_n FROM cut
+  UNION ALL SELECT x.word, y.word, y.n FROM less x JOIN less y ON x.i = y.i AND x.s = y.s AND x.word <> y.word),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS best_n, arg_min(near, (-near_n, near)) AS best FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * v.n THEN best END AS form,
+             CASE WHEN best_n >= 2 * v.n THEN best_n END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.at
+          WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN chain ON chain.word = f.word JOIN f AS last ON last.word = chain.at AND last.form IS NULL""",
     "op9_line_templates": rf"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
 l AS (

@@ -70,7 +70,10 @@ class Chunk:
 
     def words(self, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end of every word, and for each text the index of its first word (one more at the end)."""
-        inside = word_bytes[self.data]
+        return self.spans(word_bytes[self.data])
+
+    def spans(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As words(), of the bytes that a mask marks."""
         if not len(inside):
             none = np.zeros(0, np.int64)
             return none, none, np.zeros(len(self) + 1, np.int64)
