@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widelines.llm import (decontaminate, licenses, line_templates, mixing, near_dup, quality, repeats, sharding,
-                           spelling, token_output, toxicity, url_filter)
+from widelines.llm import (decontaminate, licenses, line_templates, mixing, near_dup, quality, repeats, search,
+                           sharding, spelling, token_output, toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.drop_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -87,11 +91,14 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_line_templates": op9_line_templates,
     "op10_token_output": op10_token_output,
+    "op11_ranked_search": op11_ranked_search,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
 ORACLE = {
     "op1_quality_rules": rf"""
@@ -185,6 +192,21 @@ kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept
          FROM word ANTI JOIN gone USING (r, k) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)""",
+    "op11_ranked_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+s AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d),
+q AS (SELECT q, item_id, term, count(*) AS c
+      FROM (SELECT q, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM benchmark))
+      GROUP BY ALL),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM f, s GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 75 + (25 * len(t) * n_docs) // n_terms AS m FROM d, s WHERE len(t) > 0),
+x AS (SELECT q, item_id, r, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+WHERE rank <= 20""",
     "op13_spelling_variants": r"""
 WITH RECURSIVE crc AS (
   SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
