@@ -8,9 +8,13 @@ similarity with the concentration of independent samples.
 
 Candidates. Texts with equal sets are one class. Rows of ``rows`` coordinates make band keys; classes that share a
 key are candidates. ``rows`` and ``bands`` are set so that a pair at the threshold is missed with probability below
-1e-5. In each bucket a hub (the class that meets most others) is compared with all members; linked members are one
-component, the hub leaves the bucket, and a bucket whose rest is one component is done. Buckets still open after
-``STAR_ROUNDS`` are compared pair by pair across components: exact, without a cap.
+1e-5. Buckets of the same members count once. In each bucket a hub (the class that meets most others) is compared
+with all members; linked members are one component, the hub leaves the bucket, and a bucket whose rest is one
+component is done. Members of buckets that are still open after ``STAR_ROUNDS`` meet in cells of bounded size with
+their full sets. A large bucket is cut into blocks by hash, and each pair of blocks is a cell, so that no bucket's
+size is capped. A cell emits links that join components, at most one fewer than it has members: shingles that no other
+member holds are counted out first (copies that differ from all others in too many of them can't be linked), then
+intersections are counted through the cell's inverted index, for members of different components only.
 
 Links are confirmed on the full shingle sets, read again from the whole texts of candidates. Shingles are 64-bit
 fingerprints of their words.
@@ -40,8 +44,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS = 5
 STAR_ROUNDS = 2
-#: Standard deviations by which a sketch may fall short of the threshold before a pair of the last step is dismissed.
-MARGIN = 6
+#: Members, and bytes of their sets, of one block of a bucket; a cell holds one or two blocks.
+BLOCK_MEMBERS, BLOCK_BYTES = 512, 32 << 20
 
 
 def bands_for(threshold: float, rows: int = ROWS, miss: float = 1e-5) -> int:
@@ -71,6 +75,7 @@ def shingle_sets(chunk: Chunk, size: int) -> Iterator[np.ndarray]:
 def sketches(sets: list[np.ndarray], bins: int) -> np.ndarray:
     """A row of ``bins`` values for each non-empty set (rows of empty sets stay unfilled)."""
     empty = np.uint64(2**64 - 1)
+    bits = np.uint64((2 * bins).bit_length())  # the round's number stands first, so that earlier rounds win
     out = np.full(len(sets) * bins, empty, np.uint64)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     items = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -79,7 +84,7 @@ def sketches(sets: list[np.ndarray], bins: int) -> np.ndarray:
             break
         h = mix(items, 16 + i)
         at = ((h >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32) if i < bins else np.uint64(i - bins)
-        value = (np.uint64(i) << np.uint64(55)) | (mix(h) >> np.uint64(9))
+        value = (np.uint64(i) << (np.uint64(64) - bits)) | (mix(h) >> bits)
         np.minimum.at(out, owner * bins + at.astype(np.int64), value)
         full = (out.reshape(-1, bins) != empty).all(axis=1)
         todo = ~full[owner]
@@ -91,11 +96,11 @@ def _digest(s: np.ndarray, seed: int) -> int:
     return int(mix(s, seed).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0
 
 
-SKETCHED = "doc_id long, n_shingles long, hi long, lo long, bands array<long>, sketch binary"
+SKETCHED = "doc_id long, n_shingles long, hi long, lo long, bands array<long>"
 
 
 def sketch_texts(df: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
-    """(doc_id, n_shingles, 128-bit digest of the set, band keys, 16 bits of each coordinate) per row."""
+    """(doc_id, n_shingles, 128-bit digest of the set, band keys) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,16 +110,14 @@ def sketch_texts(df: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
                 keys = np.zeros((len(sets), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
                 for r in range(rows):
                     keys = mix(keys + filled[:, r * bands : (r + 1) * bands], 5)
-                short = mix(filled, 6).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(chunk.first, len(chunk)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s, 11) for s in sets], pa.int64()),
                     pa.array([_digest(s, 12) for s in sets], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(sets) * bands + 1, bands), pa.int32()),
-                                             pa.array(keys.ravel().view(np.int64))),
-                    pa.array([row.tobytes() for row in short], pa.binary())],
-                    names=["doc_id", "n_shingles", "hi", "lo", "bands", "sketch"])
+                                             pa.array(keys.ravel().view(np.int64)))],
+                    names=["doc_id", "n_shingles", "hi", "lo", "bands"])
 
     return df.mapInArrow(run, SKETCHED)
 
@@ -155,12 +158,63 @@ def linked_pairs(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long")
 
 
-def similar_sketches(threshold: float, bins: int) -> F.Column:
-    """Whether two sketches (hex of 2 bytes a coordinate) agree as much as a pair at the threshold would."""
-    least = math.floor(bins * threshold - MARGIN * math.sqrt(bins * threshold * (1 - threshold)))
-    agree = "+".join(f"int(substring(sketch_a, {2 * i + 1}, 2) = substring(sketch_b, {2 * i + 1}, 2))"
-                     for i in range(bins))
-    return F.expr(f"({agree}) >= {least}")
+def cell_links(sets: list[np.ndarray], component: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (100 * |intersection| >= percent * |union|) that join the components of a cell's members as far as any do.
+    Members with different ``side`` are compared, or all where it is 0 throughout."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    item, member = np.concatenate(sets), np.repeat(np.arange(n), size)
+    order = np.argsort(item, kind="stable")
+    item, member = item[order], member[order]
+    first = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
+    df = np.diff(np.append(first, len(item)))
+    shared = np.repeat(df > 1, df)
+    common = np.bincount(member[shared], minlength=n)  # no intersection is larger
+    alive = 100 * common >= percent * size
+    keep = shared & alive[member]
+    item, member = item[keep], member[keep]
+    start = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]])) if len(item) else np.zeros(0, np.int64)
+    number = np.cumsum(np.isin(np.arange(len(item)), start)) - 1
+    end = np.append(start[1:], len(item))
+    own = np.argsort(member, kind="stable")
+    mine = np.searchsorted(member[own], np.arange(n + 1))
+    _, label = np.unique(component, return_inverse=True)
+    links = []
+    for x in np.argsort(-common, kind="stable").tolist():
+        if not alive[x]:
+            continue
+        open_ = alive & (label != label[x]) & ((side != side[x]) | (side.max() == 0))
+        least = np.minimum(common, common[x])  # the largest intersection there can be
+        open_ &= 100 * least >= percent * (size + size[x] - least)
+        if not open_.any():
+            continue
+        of = number[own[mine[x] : mine[x + 1]]]
+        length = end[of] - start[of]
+        at = np.repeat(start[of] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+        both = np.bincount(member[at], minlength=n)
+        for y in np.flatnonzero(open_ & (100 * both >= percent * (size + size[x] - both))).tolist():
+            if label[x] != label[y]:
+                label[label == label[y]] = label[x]
+                links.append((x, y))
+    return links
+
+
+def _compared(percent: int):
+    """Function of one cell (bucket, i, j): its links."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["items"]]
+        found = []
+        if len(np.unique(table["component"].to_numpy())) > 1:
+            side = (block != block[0]).astype(np.int64)
+            if table["i"][0].as_py() == table["j"][0].as_py() or side.max() > 0:
+                found = cell_links(sets, table["component"].to_numpy(), side, percent)
+        rep = table["rep"].to_numpy()
+        return pa.table({"a": pa.array([rep[x] for x, _ in found], pa.int64()),
+                         "b": pa.array([rep[y] for _, y in found], pa.int64())})
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -172,11 +226,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     sk = stored(sketch_texts(bare, size, rows, bands), "sketches")
     named = sk.where("n_shingles > 0 and doc_id is not null")
     classes = stored(named.groupBy("hi", "lo", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
 
-    rows_of = classes.select("rep", "hi", "lo", F.explode("bands").alias("bucket"))
-    shared = rows_of.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    met = stored(rows_of.join(shared, "bucket"), "met")
+    rows_of = classes.select("rep", "hi", "lo", "n_shingles", F.explode("bands").alias("bucket"))
+    kinds = stored(rows_of.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("m1"),
+        F.sum(F.shiftright(F.xxhash64("rep", F.lit(2)), 24)).alias("m2")).where("size > 1").groupBy("size", "m1", "m2").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "buckets")
+    met = stored(rows_of.join(kinds, "bucket"), "met")
     meets = met.groupBy("rep").agg(F.sum("size").alias("meets"))
     members = stored(met.drop("size", "hi", "lo").distinct().join(meets, "rep"), "members")
 
@@ -200,8 +256,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
     comp = None
     for _ in range(STAR_ROUNDS):
-        hubs = members.groupBy("bucket").agg(F.max(F.struct("meets", "rep")).alias("top")).select(
-            "bucket", F.col("top.rep").alias("hub"))
+        hubs = stored(members.groupBy("bucket").agg(F.max(F.struct("meets", "rep")).alias("top")).select(
+            "bucket", F.col("top.rep").alias("hub")), "hubs")
         spokes = members.join(hubs, "bucket").where("rep != hub")
         links = links.unionByName(confirmed(spokes.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
         comp = stored(components(links), "components")
@@ -210,19 +266,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         open_ = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
         members = stored(labelled.drop("component").join(open_.select("bucket"), "bucket", "left_semi"), "members")
 
-    shape = classes.select("rep", "n_shingles", F.col("sketch").alias("sketch"))
-    rest = stored(members.select("rep", "bucket").join(
-        comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        .join(shape, "rep"), "rest")
-    a, b = rest.alias("a"), rest.alias("b")
-    across = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.rep") < F.col("b.rep")) & (
-        F.col("a.component") != F.col("b.component"))
-    alike = (100 * F.least("a.n_shingles", "b.n_shingles") >= percent * F.greatest("a.n_shingles", "b.n_shingles"))
-    last = (a.join(b, across & alike).select(
-        F.col("a.rep").alias("a"), F.col("b.rep").alias("b"),
-        F.col("a.sketch").alias("sketch_a"), F.col("b.sketch").alias("sketch_b"))
-        .where(similar_sketches(threshold, rows * bands)).select("a", "b").distinct())
-    links = links.unionByName(confirmed(last))
+    rest = stored(members.select("rep", "bucket", "n_shingles").join(
+        comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "rest")
+    blocks = stored(rest.groupBy("bucket").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_MEMBERS, 8 * F.sum("n_shingles") / BLOCK_BYTES)).alias("blocks")), "blocks")
+    celled = (rest.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("rep", "bucket"), "blocks"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("rep", "component", "bucket", "block", F.least("block", "other").alias("i"),
+                      F.greatest("block", "other").alias("j")).join(sets, "rep"))
+    links = links.unionByName(stored(celled.groupBy("bucket", "i", "j").applyInArrow(
+        _compared(percent), "a long, b long"), "links"))
     comp = stored(components(links), "components")
 
     of_class = classes.select("hi", "lo", "n_shingles", "rep").join(
