@@ -44,6 +44,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS = 5
 STAR_ROUNDS = 2
+ID_BUCKETS = 1 << 20
 #: Members, and bytes of their sets, of one block of a bucket; a cell holds one or two blocks.
 BLOCK_MEMBERS, BLOCK_BYTES = 512, 32 << 20
 
@@ -237,7 +238,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     members = stored(met.drop("size", "hi", "lo").distinct().join(meets, "rep"), "members")
 
     wanted = met.select(F.col("rep").alias("doc_id"), "hi", "lo").distinct()
-    full = set_bytes(bare.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text"), size)
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS)).cast("int")
+    marked = F.broadcast(wanted.select(bucket.alias("_bucket")).distinct())  # at most ID_BUCKETS rows
+    texts = bare.join(marked, bucket == F.col("_bucket"), "left_semi")  # so that few other texts are shuffled
+    full = set_bytes(texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text"), size)
     sets = stored(full.join(wanted, ["doc_id", "hi", "lo"], "left_semi").dropDuplicates(["doc_id", "hi", "lo"])
                   .select(F.col("doc_id").alias("rep"), "items"), "sets")
 
