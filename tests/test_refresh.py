@@ -64,22 +64,3 @@ def test_change_feed_stream_applies_changes(spark, scratch):
     q.awaitTermination(120)
     fact = layouts.read_layout(spark, root, "sales_order_fact").drop("order_year", "order_month")
     assert _same(fact.select(*sales_order_fact(after).columns), sales_order_fact(after))
-
-
-def test_partition_refresh_in_place_equals_full(spark, scratch):
-    from widelines.plans.layouts import write_layout
-
-    before, after = _before(spark), _after(spark)
-    w = write_layout(sales_order_fact(before), f"{scratch}/t", "sales_order_fact")
-    months_before = {(r.order_year, r.order_month)
-                     for r in spark.read.parquet(w.path).select("order_year", "order_month")
-                     .distinct().collect()}
-    # the feed: updated order 1, deleted order 3, new order 4
-    ids = spark.createDataFrame([(1,), (3,), (4,)], "order_id long")
-    from widelines.streaming.incremental import refresh_partitions_in_place
-    refresh_partitions_in_place(spark, after, w.path, "sales_order_fact", ids,
-                                f"{scratch}/staging")
-    got = spark.read.parquet(w.path).drop("order_year", "order_month")
-    want = sales_order_fact(after)
-    assert _same(got.select(*want.columns), want)
-    assert months_before == {(2025, 1)}

@@ -19,11 +19,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from widelines.plans import publish_log
 from widelines.plans.sinks import WriteResult, read_current, write_version
+from widelines.schemas import WIDE
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name of a NULL
 ROW_GROUP_BYTES = str(32 * 1024 * 1024)  # smaller row groups: finer min/max pruning
 
 
@@ -57,6 +61,15 @@ LAYOUTS = {
 }
 
 
+#: Columns of the lookup index (``plans.file_index``): ranges of all, sketches of those a file holds without order.
+INDEX_RANGES = {"sales_order_fact": ("order_id", "invoice_number"),
+                "sales_order_line_items": ("order_id", "item_code"),
+                "service_parts_catalog": ("serviceid", "sku")}
+INDEX_SKETCHES = {"sales_order_fact": ("order_id", "invoice_number"),
+                  "sales_order_line_items": ("order_id", "item_code"),
+                  "service_parts_catalog": ("sku",)}
+
+
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     """Add derived partition columns, place rows, sort each task's rows.
 
@@ -84,6 +97,32 @@ def writer_options(layout: Layout) -> dict[str, str]:
     return opts
 
 
+def stored_schema(table: str) -> T.StructType:
+    """The columns of a stored table: the wide columns, then those its layout adds."""
+    return T.StructType([*WIDE[table].fields, *(T.StructField(n, T.IntegerType()) for n in LAYOUTS[table].derived)])
+
+
+def with_parts(df: DataFrame, layout: Layout) -> DataFrame:
+    """``df`` with the layout's derived partition columns."""
+    return df.withColumns({name: F.expr(expr) for name, expr in layout.derived.items()})
+
+
+def partition_name(parts: list[str]) -> Column:
+    """A row's partition as its folder is named (the parts hold numbers and plain words)."""
+    return F.concat_ws("/", *(F.concat(F.lit(f"{p}="), F.coalesce(F.col(p).cast("string"), F.lit(NO_VALUE))) for p in parts))
+
+
+def live_folders(store: publish_log.Store, table: str) -> dict[str, str]:
+    """Live partition -> its folder below ``<root>/<table>``."""
+    entry = publish_log.latest(store, table)
+    if entry is None:
+        raise FileNotFoundError(f"no published version of {table} under {store.root}")
+    folders = entry.folders
+    if folders is None:
+        folders = publish_log.partition_folders(store, table, entry.version, len(LAYOUTS[table].partition_by))
+    return {f.split("/", 1)[1]: f for f in folders}
+
+
 def write_layout(df: DataFrame, root: str, table: str, version: str | None = None,
                  publish: bool = True) -> WriteResult:
     layout = LAYOUTS[table]
@@ -97,10 +136,6 @@ def read_layout(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_current(spark, root, table)
 
 
-def without_layout_columns(df: DataFrame, table: str) -> DataFrame:
-    return df.drop(*LAYOUTS[table].derived.keys())
-
-
 def write_bucketed(df: DataFrame, table_name: str, path: str, key: str, num_buckets: int,
                    mode: str = "errorifexists") -> DataFrame:
     """Store ``df`` as a catalog table bucketed and sorted by ``key``.

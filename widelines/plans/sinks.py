@@ -3,8 +3,7 @@
 Tables live below a root folder:
 
 * ``<root>/<table>/v=<version>/``  one complete Parquet dataset per build;
-* ``<root>/_publish/<seq>/``      an append-only log of (table, version, seq),
-                                   one small dataset per publish.
+* ``<root>/_publish/<seq>.json``   the log of what is live (``plans.publish_log``).
 
 A build writes a *new* version folder (Spark's commit protocol makes the
 files visible only when the job commits) and only then appends a publish
@@ -18,6 +17,7 @@ with the same rows.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from widelines.plans import publish_log
+
 # CSV dialect of PostgreSQL ``COPY ... CSV HEADER``: NULL is an
 # empty field, an empty string is "", quotes are doubled, blanks are kept,
 # timestamps use a space.
@@ -95,49 +97,47 @@ def write_version(df: DataFrame, root: str, table: str, version: str | None = No
     return WriteResult(table, path, version, rows)
 
 
-PUBLISH_LOG = "_publish"
-_PUBLISH_SCHEMA = T.StructType([
-    T.StructField("table", T.StringType()),
-    T.StructField("version", T.StringType()),
-    T.StructField("seq", T.StringType()),
-])
-
-
 def publish_versions(spark: SparkSession, root: str, versions: dict[str, str]) -> None:
-    """Make ``versions`` ({table: version}) live, all in one write.
-
-    Every publish record is its own small dataset below the log folder, so
-    concurrent publishers never share a job's staging folder.
-    """
-    seq = new_version()
-    rows = [(table, version, seq) for table, version in versions.items()]
-    (spark.createDataFrame(rows, _PUBLISH_SCHEMA).coalesce(1)
-     .write.mode("errorifexists").json(f"{root.rstrip('/')}/{PUBLISH_LOG}/{seq}"))
+    """Make ``versions`` ({table: version}) live, all in one record of the log."""
+    publish_log.append(publish_log.Store(spark, root), [publish_log.Entry(t, v) for t, v in versions.items()])
 
 
 def publish_version(spark: SparkSession, root: str, table: str, version: str) -> None:
     publish_versions(spark, root, {table: version})
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> str:
-    """Latest published version of ``table`` (the log is tiny: one row per publish)."""
-    row = (spark.read.schema(_PUBLISH_SCHEMA).option("recursiveFileLookup", "true")
-           .json(f"{root.rstrip('/')}/{PUBLISH_LOG}")
-           .where(F.col("table") == table)
-           .orderBy(F.col("seq").desc()).select("version").first())
-    if row is None:
+def _live(spark: SparkSession, root: str, table: str) -> publish_log.Entry:
+    entry = publish_log.latest(publish_log.Store(spark, root), table)
+    if entry is None:
         raise FileNotFoundError(f"no published version of {table} under {root}")
-    return row["version"]
+    return entry
+
+
+def current_version(spark: SparkSession, root: str, table: str) -> str:
+    """Latest published version of ``table``."""
+    return _live(spark, root, table).version
+
+
+def read_folders(spark: SparkSession, root: str, table: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    """Partition folders (of any versions) of a table, with their partition columns; no folder is no row."""
+    base = f"{root.rstrip('/')}/{table}"
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("basePath", base).parquet(*(f"{base}/{f}" for f in folders))
+            .select(*schema.fieldNames()))
 
 
 def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None
                  ) -> DataFrame:
-    """The live version of a table."""
-    path = f"{root.rstrip('/')}/{table}/v={current_version(spark, root, table)}"
+    """The live version of a table, whether one folder or partition folders of several versions."""
+    entry = _live(spark, root, table)
+    if entry.folders is not None:
+        found = read_folders(spark, root, table, entry.folders, T.StructType.fromJson(json.loads(entry.schema)))
+        return found if schema is None else found.select(*schema.fieldNames())
     reader = spark.read.format("parquet")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    return reader.load(f"{root.rstrip('/')}/{table}/v={entry.version}")
 
 
 def table_row_count(spark: SparkSession, root: str, table: str) -> int:

@@ -26,12 +26,15 @@ from widelines.operators.line_items import (part_lines, sales_order_line_items,
                                             service_lines)
 from widelines.functions.money import safe_unit_price
 from widelines.functions.text import customer_name
-from widelines.plans import layouts, sinks
+from widelines.plans import clustering, layouts, publish_log, sinks
+from widelines.plans.file_index import build_file_index, lookup, lookup_values
 from widelines.plans.pipeline import run_pipeline, summary_frame
 from widelines.schemas import WIDE
 from widelines.session import scratch_path
 from widelines.sources.fixtures import fixture_sources
-from widelines.streaming.incremental import changed_since, refresh_fact, snapshot_before
+from widelines.streaming import rollups
+from widelines.streaming.incremental import (ORDER_TABLES, ROLLUPS, changed_since, refresh_fact, refresh_partitions,
+                                             restrict, snapshot_before, write_rollups)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,13 +81,20 @@ def _catalog(spark, sf_dir, ordered=True):
     return service_parts_catalog(_src(spark, sf_dir), ordered=ordered)
 
 
-# Layouts are written once per (session, folder) and shared by every lookup.
-_LAYOUT_ROOTS: dict[tuple[int, str], str] = {}
-_LAYOUT_LOCK = threading.Lock()
+# Layouts are written once per application and state of the folder, and shared by every lookup.
+_LAYOUT_ROOTS: dict[tuple, str] = {}
+_LOOKUP_ROOTS: dict[tuple, str] = {}
+_REFRESH_ROOTS: dict[tuple, str] = {}
+_LAYOUT_LOCK = threading.RLock()
+
+
+def _folder_state(spark, sf_dir) -> tuple:
+    store = publish_log.Store(spark, sf_dir)
+    return (spark.sparkContext.applicationId, sf_dir, tuple(sorted((n, t) for n, _, t in store.names(""))))
 
 
 def _layout_root(spark, sf_dir) -> str:
-    key = (id(spark), sf_dir)
+    key = _folder_state(spark, sf_dir)
     with _LAYOUT_LOCK:
         if key not in _LAYOUT_ROOTS:
             root = scratch_path(spark, "layouts")
@@ -100,6 +110,33 @@ def _layout_root(spark, sf_dir) -> str:
         return _LAYOUT_ROOTS[key]
 
 
+def _lookup_root(spark, sf_dir) -> str:
+    """The layouts with their lookup indexes, and the order-grained tables along their curves."""
+    key = _folder_state(spark, sf_dir)
+    with _LAYOUT_LOCK:
+        if key not in _LOOKUP_ROOTS:
+            root = _layout_root(spark, sf_dir)
+
+            def index(name):
+                build_file_index(spark, root, name, sinks.current_version(spark, root, name),
+                                 layouts.INDEX_RANGES[name], layouts.INDEX_SKETCHES[name])
+
+            def cluster(name):
+                clustering.write_clustered(_wide_cols(layouts.read_layout(spark, root, name), name), root, name)
+
+            with ThreadPoolExecutor(max_workers=5) as pool:
+                jobs = [pool.submit(index, n) for n in WIDE] + [pool.submit(cluster, n) for n in clustering.CURVES]
+                for fut in jobs:
+                    fut.result()
+            _LOOKUP_ROOTS[key] = root
+        return _LOOKUP_ROOTS[key]
+
+
+def _looked_up(spark, sf_dir, table, column, probe, clustered=False) -> DataFrame:
+    stored = clustering.clustered_name(table) if clustered else table
+    return _wide_cols(lookup(spark, _lookup_root(spark, sf_dir), stored, column, probe), table)
+
+
 def _laid_out(spark, sf_dir, table) -> DataFrame:
     return layouts.read_layout(spark, _layout_root(spark, sf_dir), table)
 
@@ -506,8 +543,7 @@ SELECT * FROM w_fact f
 WHERE f.order_id IN (SELECT order_id FROM w_lines WHERE line_item_type = 'SERVICE')""")
 def q_fact_by_order(spark, sf_dir):
     probe = _lines_laid(spark, sf_dir).where(F.col("line_item_type") == "SERVICE")
-    return _wide_cols(access.by_probe(_fact_laid(spark, sf_dir), probe, "order_id"),
-                      "sales_order_fact")
+    return _looked_up(spark, sf_dir, "sales_order_fact", "order_id", probe)
 
 
 @register("fact_by_customer", """
@@ -515,8 +551,7 @@ SELECT * FROM w_fact f
 WHERE f.customer_id IN (SELECT customer_id FROM src_customers WHERE phone IS NULL)""")
 def q_fact_by_customer(spark, sf_dir):
     probe = _src(spark, sf_dir).customers.where(F.col("phone").isNull())
-    return _wide_cols(access.by_probe(_fact_laid(spark, sf_dir), probe, "customer_id"),
-                      "sales_order_fact")
+    return _looked_up(spark, sf_dir, "sales_order_fact", "customer_id", probe, clustered=True)
 
 
 @register("fact_by_date_range", f"""
@@ -532,8 +567,7 @@ SELECT * FROM w_fact f
 WHERE f.invoice_number IN (SELECT invoice_number FROM w_lines WHERE quantity = {MAX_QUANTITY})""")
 def q_fact_by_invoice(spark, sf_dir):
     probe = _lines_laid(spark, sf_dir).where(F.col("quantity") == MAX_QUANTITY)
-    return _wide_cols(access.by_probe(_fact_laid(spark, sf_dir), probe, "invoice_number"),
-                      "sales_order_fact")
+    return _looked_up(spark, sf_dir, "sales_order_fact", "invoice_number", probe)
 
 
 @register("fact_by_status", f"SELECT * FROM w_fact WHERE status = '{LOOKUP_STATUS}'")
@@ -545,9 +579,9 @@ def q_fact_by_status(spark, sf_dir):
 @register("fact_by_state_city",
           f"SELECT * FROM w_fact WHERE state = '{LOOKUP_STATE}' AND city = '{LOOKUP_CITY}'")
 def q_fact_by_state_city(spark, sf_dir):
-    df = _fact_laid(spark, sf_dir).where(
-        (F.col("state") == LOOKUP_STATE) & (F.col("city") == LOOKUP_CITY))
-    return _wide_cols(df, "sales_order_fact")
+    found = lookup_values(spark, _lookup_root(spark, sf_dir), clustering.clustered_name("sales_order_fact"),
+                          {"state": [LOOKUP_STATE], "city": [LOOKUP_CITY]})
+    return _wide_cols(found, "sales_order_fact")
 
 
 @register("lines_by_type", "SELECT * FROM w_lines WHERE line_item_type = 'SERVICE'")
@@ -561,8 +595,7 @@ SELECT * FROM w_lines l
 WHERE l.order_id IN (SELECT order_id FROM w_fact WHERE total_line_items >= {BIG_ORDER_LINES})""")
 def q_lines_by_order(spark, sf_dir):
     probe = _fact_laid(spark, sf_dir).where(F.col("total_line_items") >= BIG_ORDER_LINES)
-    return _wide_cols(access.by_probe(_lines_laid(spark, sf_dir), probe, "order_id"),
-                      "sales_order_line_items")
+    return _looked_up(spark, sf_dir, "sales_order_line_items", "order_id", probe)
 
 
 @register("lines_by_customer", """
@@ -570,8 +603,7 @@ SELECT * FROM w_lines l
 WHERE l.customer_id IN (SELECT customer_id FROM src_customers WHERE phone IS NULL)""")
 def q_lines_by_customer(spark, sf_dir):
     probe = _src(spark, sf_dir).customers.where(F.col("phone").isNull())
-    return _wide_cols(access.by_probe(_lines_laid(spark, sf_dir), probe, "customer_id"),
-                      "sales_order_line_items")
+    return _looked_up(spark, sf_dir, "sales_order_line_items", "customer_id", probe, clustered=True)
 
 
 @register("lines_by_date_range", f"""
@@ -588,14 +620,12 @@ WHERE l.item_code IN (SELECT sku FROM src_auto_parts WHERE vendor = '{LOOKUP_VEN
 def q_lines_by_item(spark, sf_dir):
     probe = (_src(spark, sf_dir).auto_parts.where(F.col("vendor") == LOOKUP_VENDOR)
              .select(F.col("sku").alias("item_code")))
-    return _wide_cols(access.by_probe(_lines_laid(spark, sf_dir), probe, "item_code"),
-                      "sales_order_line_items")
+    return _looked_up(spark, sf_dir, "sales_order_line_items", "item_code", probe)
 
 
 @register("lines_by_state", f"SELECT * FROM w_lines WHERE state = '{LOOKUP_LINE_STATE}'")
 def q_lines_by_state(spark, sf_dir):
-    return _wide_cols(access.by_values(_lines_laid(spark, sf_dir), "state", [LOOKUP_LINE_STATE]),
-                      "sales_order_line_items")
+    return _looked_up(spark, sf_dir, "sales_order_line_items", "state", [LOOKUP_LINE_STATE], clustered=True)
 
 
 @register("revenue_by_type_and_day", """
@@ -611,8 +641,7 @@ SELECT * FROM w_catalog c
 WHERE c.serviceid IN (SELECT serviceid FROM src_service WHERE labor_cost < 0)""")
 def q_catalog_by_service(spark, sf_dir):
     probe = _src(spark, sf_dir).service.where(F.col("labor_cost") < 0)
-    return _wide_cols(access.by_probe(_catalog_laid(spark, sf_dir), probe, "serviceid"),
-                      "service_parts_catalog")
+    return _looked_up(spark, sf_dir, "service_parts_catalog", "serviceid", probe)
 
 
 @register("catalog_by_sku", f"""
@@ -621,8 +650,7 @@ WHERE c.sku IN (SELECT sku FROM src_auto_parts WHERE price >= {EXPENSIVE_PART_PR
 def q_catalog_by_sku(spark, sf_dir):
     probe = _src(spark, sf_dir).auto_parts.where(
         F.col("price") >= F.lit(EXPENSIVE_PART_PRICE).cast("decimal(10,2)"))
-    return _wide_cols(access.by_probe(_catalog_laid(spark, sf_dir), probe, "sku"),
-                      "service_parts_catalog")
+    return _looked_up(spark, sf_dir, "service_parts_catalog", "sku", probe)
 
 
 @register("catalog_by_category", f"SELECT * FROM w_catalog WHERE category = '{LOOKUP_CATEGORY}'")
@@ -637,8 +665,47 @@ def q_catalog_by_vendor(spark, sf_dir):
                       "service_parts_catalog")
 
 
+TOP_ORDERS, TOP_ITEMS = 20, 20
+
+
+def _top_orders(spark, sf_dir) -> DataFrame:
+    """The orders of the highest totals: the probe of the narrow lookups."""
+    fact = _fact_laid(spark, sf_dir).select("order_id", "invoice_number", "customer_id", "total_amount")
+    return fact.orderBy(F.col("total_amount").desc_nulls_last(), "order_id").limit(TOP_ORDERS)
+
+
+_TOP_ORDERS_SQL = f"""(SELECT * FROM w_fact ORDER BY total_amount DESC NULLS LAST, order_id LIMIT {TOP_ORDERS})"""
+
+
+@register("fact_of_top_invoices",
+          f"SELECT * FROM w_fact WHERE invoice_number IN (SELECT invoice_number FROM {_TOP_ORDERS_SQL})")
+def q_fact_of_top_invoices(spark, sf_dir):
+    return _looked_up(spark, sf_dir, "sales_order_fact", "invoice_number", _top_orders(spark, sf_dir))
+
+
+@register("fact_of_top_customers",
+          f"SELECT * FROM w_fact WHERE customer_id IN (SELECT customer_id FROM {_TOP_ORDERS_SQL})")
+def q_fact_of_top_customers(spark, sf_dir):
+    return _looked_up(spark, sf_dir, "sales_order_fact", "customer_id", _top_orders(spark, sf_dir), clustered=True)
+
+
+@register("lines_of_top_orders",
+          f"SELECT * FROM w_lines WHERE order_id IN (SELECT order_id FROM {_TOP_ORDERS_SQL})")
+def q_lines_of_top_orders(spark, sf_dir):
+    return _looked_up(spark, sf_dir, "sales_order_line_items", "order_id", _top_orders(spark, sf_dir))
+
+
+@register("lines_of_top_items", f"""
+SELECT * FROM w_lines
+WHERE item_code IN (SELECT sku FROM src_auto_parts ORDER BY price DESC NULLS LAST, sku LIMIT {TOP_ITEMS})""")
+def q_lines_of_top_items(spark, sf_dir):
+    probe = (_src(spark, sf_dir).auto_parts.orderBy(F.col("price").desc_nulls_last(), "sku").limit(TOP_ITEMS)
+             .select(F.col("sku").alias("item_code")))
+    return _looked_up(spark, sf_dir, "sales_order_line_items", "item_code", probe)
+
+
 # ------------------------------------------------------------ 2.12 extensions
-@register("sales_order_fact_true_qty", """
+_TRUE_QTY_SQL = """
 WITH p AS (SELECT order_id, count(DISTINCT line_item_id) AS n, sum(quantity) AS q
            FROM src_sales_order_parts GROUP BY order_id),
      s AS (SELECT order_id, count(DISTINCT line_item_id) AS n, sum(quantity) AS q
@@ -651,7 +718,10 @@ SELECT o.order_id, o.invoice_number, o.order_date, o.order_type, o.status, o.pay
        CAST(coalesce(s.q, 0) AS BIGINT) AS total_services_quantity,
        coalesce(p.n, 0) + coalesce(s.n, 0) AS total_line_items
 FROM src_sales_order o JOIN src_customers c ON c.customer_id = o.customer_id
-LEFT JOIN p ON p.order_id = o.order_id LEFT JOIN s ON s.order_id = o.order_id""")
+LEFT JOIN p ON p.order_id = o.order_id LEFT JOIN s ON s.order_id = o.order_id"""
+
+
+@register("sales_order_fact_true_qty", _TRUE_QTY_SQL)
 def q_sales_order_fact_true_qty(spark, sf_dir):
     return sales_order_fact(_src(spark, sf_dir), true_quantities=True)
 
@@ -668,6 +738,65 @@ def q_incremental_refresh_equals_full(spark, sf_dir):
     return sinks.read_current(spark, root, "sales_order_fact", WIDE["sales_order_fact"])
 
 
+DELETED_ID = 10_000_000_000  # added to the ids of the orders that the refresh finds deleted
+
+
+def _in_month(column: str, month: str):
+    return F.date_format(column, "yyyy-MM") == month
+
+
+def _earlier_sources(src) -> tuple:
+    """The sources as an earlier load may have left them, and the orders changed since: later orders not there yet, a
+    month of orders dated two months before, a month without dates, a month (2031-05) of orders deleted since, and
+    orders that had one service line, removed since."""
+    orders, ts = src.sales_order, F.lit(REFRESH_CUTOFF).cast("timestamp_ntz")
+    new = orders.where(F.col("created_at") >= ts).select("order_id")
+    moved, undated = _in_month("order_date", "1996-01"), _in_month("order_date", "1996-02")
+    at = (F.when(moved, F.expr("order_date - INTERVAL '2' MONTH")).when(undated, F.lit(None).cast("timestamp_ntz"))
+          .otherwise(F.col("order_date")))
+    deleted = (orders.where(_in_month("order_date", "1996-03")).withColumn("order_id", F.col("order_id") + DELETED_ID)
+               .withColumn("order_date", F.lit("2031-05-05").cast("timestamp_ntz")))
+    bare = (orders.where(_in_month("order_date", "1996-05")).select("order_id")
+            .join(src.sales_order_services.select("order_id"), "order_id", "left_anti"))
+    extra = (bare.unionByName(deleted.select("order_id"))
+             .select(F.concat(F.lit("gone-"), "order_id").alias("line_item_id"), "order_id",
+                     F.lit("SVC-000001").alias("serviceid"), F.lit(2).alias("quantity"),
+                     F.lit("20.00").cast("decimal(12,2)").alias("line_total"), F.lit(30).alias("labor_minutes"),
+                     F.lit("12.00").cast("decimal(10,2)").alias("labor_cost"), F.lit("8.00").cast("decimal(10,2)").alias("parts_cost")))
+    before = src.with_tables(
+        sales_order=orders.join(new, "order_id", "left_anti").withColumn("order_date", at).select(*orders.columns)
+        .unionByName(deleted), sales_order_services=src.sales_order_services.unionByName(extra))
+    changed = (new.unionByName(orders.where(moved | undated).select("order_id")).unionByName(deleted.select("order_id"))
+               .unionByName(bare))
+    return before, changed
+
+
+def _refreshed_root(spark, sf_dir) -> str:
+    """Tables of the earlier sources, stored with a rollup state and then refreshed by partitions."""
+    key = _folder_state(spark, sf_dir)
+    with _LAYOUT_LOCK:
+        if key not in _REFRESH_ROOTS:
+            root, src = scratch_path(spark, "partition-refresh"), _src(spark, sf_dir)
+            before, changed = _earlier_sources(src)
+            for name, build in ORDER_TABLES.items():
+                layouts.write_layout(build(before), root, name)
+            write_rollups(layouts.read_layout(spark, root, "sales_order_fact"), root)
+            refresh_partitions(spark, src, root, changed)
+            _REFRESH_ROOTS[key] = root
+        return _REFRESH_ROOTS[key]
+
+
+@register("partition_refresh_equals_full", "SELECT * FROM w_fact")
+def q_partition_refresh_equals_full(spark, sf_dir):
+    return sinks.read_current(spark, _refreshed_root(spark, sf_dir), "sales_order_fact", WIDE["sales_order_fact"])
+
+
+@register("partition_refresh_lines_equals_full", "SELECT * FROM w_lines")
+def q_partition_refresh_lines_equals_full(spark, sf_dir):
+    return sinks.read_current(spark, _refreshed_root(spark, sf_dir), "sales_order_line_items",
+                              WIDE["sales_order_line_items"])
+
+
 def _rollup_sql(expr: str, name: str) -> str:
     return f"""
 SELECT {expr} AS {name}, count(*) AS order_count,
@@ -690,6 +819,16 @@ def q_monthly_rollup(spark, sf_dir):
     return reports.monthly_rollup(_fact(spark, sf_dir))
 
 
+@register("rollup_delta_equals_full", "SELECT 'day' AS unit, order_day AS period, * EXCLUDE (order_day) FROM ("
+          + _rollup_sql("CAST(order_date AS DATE)", "order_day") + ")\nUNION ALL SELECT 'month', * FROM ("
+          + _rollup_sql("CAST(date_trunc('month', order_date) AS DATE)", "order_month") + ")")
+def q_rollup_delta_equals_full(spark, sf_dir):
+    state = sinks.read_current(spark, _refreshed_root(spark, sf_dir), ROLLUPS)
+    day, month = (rollups.rollup(state, unit).withColumnRenamed(f"order_{unit}", "period").withColumn("unit", F.lit(unit))
+                  for unit in rollups.UNITS)
+    return day.unionByName(month)
+
+
 @register("fact_with_etl_timestamp",
           f"SELECT *, TIMESTAMP '{RUN_TS}' AS etl_timestamp FROM w_fact")
 def q_fact_with_etl_timestamp(spark, sf_dir):
@@ -806,6 +945,17 @@ def q_normalized_equals_wide(spark, sf_dir):
     return reports.normalized_equals_wide(src, sales_order_fact(src))
 
 
+@register("normalized_wide_row_diff", f"""
+WITH t AS ({_TRUE_QTY_SQL})
+SELECT 'left' AS side, * FROM (SELECT * FROM w_fact EXCEPT ALL SELECT * FROM t)
+UNION ALL SELECT 'right', * FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM w_fact)""")
+def q_normalized_wide_row_diff(spark, sf_dir):
+    """Rows of the stored wide fact that differ from the normalised tables' own sums (quantities that the defining
+    join inflates), with those they should be."""
+    wide = _wide_cols(_fact_laid(spark, sf_dir), "sales_order_fact")
+    return reports.row_diff(wide, sales_order_fact(_src(spark, sf_dir), true_quantities=True), "order_id")
+
+
 @register("wide_views", """
 SELECT state, line_item_type, count(*) AS line_count,
        CAST(sum(line_total) AS DECIMAL(22,2)) AS total_revenue

@@ -2,8 +2,8 @@
 
 The feed is a folder of files listing changed ``order_id`` values (new,
 updated, deleted orders, or orders whose lines changed).  Every micro-batch
-recomputes those orders from the sources and publishes a new version of the
-fact and line tables (``foreachBatch``); the streaming checkpoint, kept in
+recomputes those orders from the sources and rewrites the partitions they touch
+in the fact and line tables, which switch together (``foreachBatch``); the streaming checkpoint, kept in
 the shared checkpoint folder, records which feed files were applied, so a
 restarted job resumes where it stopped and a batch that failed is redone.
 """
@@ -15,25 +15,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from widelines.plans.layouts import LAYOUTS, read_layout, write_layout
 from widelines.sources.model import Sources
-from widelines.streaming.incremental import refresh_fact, refresh_line_items
+from widelines.streaming.incremental import refresh_partitions
 
 CHANGE_SCHEMA = T.StructType([T.StructField("order_id", T.LongType(), True)])
 
 
 def apply_changes(spark: SparkSession, src: Sources, tables_root: str,
                   order_ids: DataFrame) -> None:
-    """Recompute the given orders and publish new versions of both order-grained tables.
+    """Recompute the given orders; both order-grained tables switch with one record of the publish log.
 
     A deleted order is itself in the feed: it is removed with the other
     changed keys and, being gone from the sources, not recomputed; so no
     key comparison against every source order is needed.
     """
-    for name, refresh in (("sales_order_fact", refresh_fact),
-                          ("sales_order_line_items", refresh_line_items)):
-        current = read_layout(spark, tables_root, name).drop(*LAYOUTS[name].derived.keys())
-        write_layout(refresh(src, current, order_ids, drop_deleted=False), tables_root, name)
+    refresh_partitions(spark, src, tables_root, order_ids)
 
 
 def start_change_feed(spark: SparkSession, feed_path: str, load_sources: Callable[[], Sources],

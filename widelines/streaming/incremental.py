@@ -13,13 +13,22 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 from widelines.operators.fact import sales_order_fact
 from widelines.operators.line_items import sales_order_line_items
+from widelines.plans import publish_log
+from widelines.plans.layouts import LAYOUTS, live_folders, partition_name, stored_schema, with_parts, write_layout
+from widelines.plans.sinks import new_version, read_current, read_folders, write_version
+from widelines.session import scratch_path
 from widelines.sources.model import Sources
+from widelines.streaming.rollups import apply_delta, rollup_state
+
+ROLLUPS = "sales_order_rollups"
+#: The order-grained wide tables and their builders.
+ORDER_TABLES = {"sales_order_fact": sales_order_fact, "sales_order_line_items": sales_order_line_items}
 
 
 def changed_since(src: Sources, since: _dt.datetime) -> DataFrame:
@@ -71,42 +80,55 @@ def snapshot_before(src: Sources, cutoff: _dt.datetime) -> Sources:
     return restrict(src.with_tables(sales_order=old), old.select("order_id"))
 
 
-def refresh_partitions_in_place(spark, src: Sources, table_path: str, table: str,
-                                order_ids: DataFrame, staging_path: str,
-                                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> int:
-    """Rewrite only the (year, month) partitions that changed orders touch.
-
-    For tables too large to rewrite per refresh.  The touched partitions are
-    the months of the changed orders before (current rows) and after
-    (recomputed rows); their new content is staged first (Spark does not
-    overwrite a path it is reading) and then swapped in with dynamic
-    partition overwrite, so every other partition is left as it is.  Cost is
-    proportional to the touched months, not to the table.  Unlike a new
-    version, the swap is per partition folder, not all-or-nothing across
-    folders.  Deleted orders must be among ``order_ids``.  Returns the
-    number of rows written.
-    """
-    from widelines.plans.layouts import LAYOUTS, arrange, writer_options
+def write_rollups(fact: DataFrame, root: str) -> None:
+    """Store and publish the rollup state of a fact table; later refreshes move it on."""
+    write_version(rollup_state(fact), root, ROLLUPS)
 
-    layout = LAYOUTS[table]
-    parts = list(layout.partition_by)
-    builder = {"sales_order_fact": sales_order_fact,
-               "sales_order_line_items": sales_order_line_items}[table]
-    keys = broadcast_if_bounded(order_ids.select("order_id").distinct(), max_broadcast_rows)
-    current = spark.read.parquet(table_path)
-    recomputed = builder(restrict(src, keys, max_broadcast_rows))
-    for name, expr in layout.derived.items():
-        recomputed = recomputed.withColumn(name, F.expr(expr))
-    touched = (current.join(keys, "order_id", "left_semi").select(*parts)
-               .unionByName(recomputed.select(*parts)).distinct())
-    touched = broadcast_if_bounded(touched, max_broadcast_rows)
-    kept = (current.join(touched, parts, "left_semi")
-            .join(keys, "order_id", "left_anti"))
-    new_rows = kept.unionByName(recomputed.select(*kept.columns))
-    opts = writer_options(layout)
-    (arrange(new_rows.drop(*layout.derived), layout)
-     .write.mode("errorifexists").options(**opts).partitionBy(*parts).parquet(staging_path))
-    staged = spark.read.parquet(staging_path)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .options(**opts).partitionBy(*parts).parquet(table_path))
-    return staged.count()
+
+def refresh_partitions(spark: SparkSession, src: Sources, root: str, order_ids: DataFrame,
+                       tables: tuple[str, ...] = tuple(ORDER_TABLES),
+                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> dict[str, list[str]]:
+    """Refresh the live tables below ``root`` by rewriting only the partitions that changed orders touch.
+
+    Touched are the partitions that hold rows of the changed orders now and
+    those of their recomputed rows.  The new content of the touched partitions
+    is written to a new version folder, and one record of the publish log
+    switches all tables (and a rollup state, see below): it lists the folder of every partition, new ones for
+    the touched (none for a partition that ends empty), the old ones for the
+    rest.  Readers see the state before or after, never a mixture, and no file
+    is overwritten.  Deleted orders must be among ``order_ids``; rows without a
+    date have a partition of their own.  A live rollup state is moved on by the
+    old and new rows of the changed orders, which lie in touched partitions.
+    Returns the touched partitions.
+    """
+    store, version = publish_log.Store(spark, root), new_version()
+    keys_path = scratch_path(spark, "changed-orders")
+    order_ids.select("order_id").where("order_id is not null").distinct().write.parquet(keys_path)
+    keys = spark.read.parquet(keys_path)
+    changed, entries = {}, []
+    for table in tables:
+        layout, schema = LAYOUTS[table], stored_schema(table)
+        parts = list(layout.partition_by)
+        folders = live_folders(store, table)
+        fresh_path = scratch_path(spark, f"recomputed-{table}")
+        with_parts(ORDER_TABLES[table](restrict(src, keys, max_broadcast_rows)), layout).write.parquet(fresh_path)
+        fresh = spark.read.parquet(fresh_path)
+        held = (read_folders(spark, root, table, list(folders.values()), schema)
+                .join(keys, "order_id", "left_semi").select(partition_name(parts).alias("part")))
+        touched = {r["part"] for r in held.unionByName(fresh.select(partition_name(parts).alias("part"))).distinct().collect()}
+        kept = read_folders(spark, root, table, [f for p, f in folders.items() if p in touched], schema).join(
+            keys, "order_id", "left_anti")
+        rows = kept.unionByName(fresh.select(*kept.columns)).drop(*layout.derived)
+        write_layout(rows, root, table, version, publish=False)
+        written = {f.split("/", 1)[1]: f for f in publish_log.partition_folders(store, table, version, len(parts))}
+        live = {p: f for p, f in folders.items() if p not in touched} | written
+        entries.append(publish_log.Entry(table, version, sorted(live.values()), schema.json()))
+        changed[table] = sorted(touched)
+        if table == "sales_order_fact" and publish_log.latest(store, ROLLUPS) is not None:
+            old = read_folders(spark, root, table, [f for p, f in folders.items() if p in touched], schema).join(
+                keys, "order_id", "left_semi")
+            moved = apply_delta(read_current(spark, root, ROLLUPS), old, fresh)
+            write_version(moved, root, ROLLUPS, version, publish=False)
+            entries.append(publish_log.Entry(ROLLUPS, version))
+    publish_log.append(store, entries)
+    return changed
