@@ -1,16 +1,20 @@
 """Operator 9, line dedup by a log-template tree, with DataFrame functions only.
 
-Every line with a word is parsed to a leaf of fixed depth: the number of its tokens and its first ``DEPTH`` tokens
-(tokens with a digit count as a variable). In a leaf, a token is part of the template at its place when at least
-``min_docs`` lines of the leaf hold it there; other places are variable. A line whose template keeps at least
-``literal_percent`` of the tokens belongs to it. Templates found in ``min_docs`` documents or more recur, and their
-lines are dropped.
+Digit runs are masked first. Every line with a word is parsed to a leaf of fixed depth: the number of its tokens and
+its first ``DEPTH`` tokens. A leaf has one template: at each place the token that more than half of the leaf's lines
+hold there, or a variable field. Since this is a share and not a count, fields stay variable however large the data.
+A line fits when at least ``literal_percent`` of its tokens are the template's. A template recurs when lines of
+``min_docs`` documents fit; so does a whole (masked) line that ``min_docs`` documents hold, or two where it has
+``long_tokens`` tokens or more. Lines that recur in either way are dropped.
 
-Leaves with fewer lines than ``min_docs`` cannot recur and go no further, so only few lines are split into places.
-Equal lines are counted once with their number, so a line that a third of all documents share is one row by then.
+Leaves with fewer lines than ``min_docs`` have no template. Tokens are counted per leaf and place map-side first, so a
+leaf that holds a third of all lines is a few rows a task by then, and only leaves whose literal places suffice keep a
+template. Lines travel as hashes; which leaves are worth a second look is known to the scans by hash buckets, a
+broadcast of at most ``BUCKETS`` rows, so that texts move once, to lose their lines.
 
 Defined results: null or empty text has no lines; lines without a word are kept and not counted; equal rows get equal
-results; null doc_ids are judged by their text; an empty table gives an empty result.
+results and count as one document; null doc_ids are judged by their text; an empty table gives an empty result.
+Exactly ``min_docs`` documents suffice; exactly half of a leaf's lines do not.
 """
 
 from __future__ import annotations
@@ -23,58 +27,77 @@ from widelines.llm.storage import stored
 DEPTH = 3
 MIN_DOCS = 10
 LITERAL_PERCENT = 60
+LONG_TOKENS = 50
+BUCKETS = 1 << 20
 #: Inside a line every blank is turned into a space, so that tokens are cut by a plain split.
 _BLANKS = "\t\x0b\x0c\r"
-_TOKENS = "array_remove(split(line, ' '), '')"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, line, leaf) of lines with a word, of distinct (doc_id, text) rows or repeated."""
-    spaced = F.translate("text", _BLANKS, " " * len(_BLANKS))
-    masked = [f"if(rlike(try_element_at(tokens, {k}), '[0-9]'), '<*>', coalesce(try_element_at(tokens, {k}), ''))"
-              for k in range(1, DEPTH + 1)]
-    leaf = F.expr(f"xxhash64(size(tokens), {', '.join(masked)})")
-    return (docs.select("doc_id", "text_hash", F.posexplode(F.split(spaced, "\n")).alias("line_no", "line"))
-            .where("trim(line) != ''").withColumn("tokens", F.expr(_TOKENS)).withColumn("leaf", leaf).drop("tokens"))
-
-
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, literal_percent: int = LITERAL_PERCENT) -> DataFrame:
-    """(doc_id, text_hash, line_no) of every line of a recurring template. ``docs``: doc_id, text_hash, text."""
-    parsed = _lines(docs)
-    large = parsed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    # Tokens are cut again after the join: as arrays they would make up most of what is shuffled.
-    hot = stored(parsed.join(large, "leaf").select(
-        "doc_id", "text_hash", "line_no", "leaf", "line", F.size(F.expr(_TOKENS)).alias("n_tokens")), "lines")
-
-    kinds = hot.groupBy("leaf", "line").agg(F.count("*").alias("n"))
-    kinds = kinds.withColumn("kind", F.xxhash64("leaf", "line"))
-    places = stored(kinds.select("leaf", "kind", "n", F.posexplode(F.expr(_TOKENS)).alias("at", "token")).where(
-        "not rlike(token, '[0-9]')"), "places")
-    fixed = places.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).drop("n")
-    template = (places.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "kind").agg(
-        F.count("*").alias("literals"), F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "token")))).alias("template")))
-
-    marked = hot.select("doc_id", "text_hash", "line_no", "leaf", "n_tokens",
-                        F.xxhash64("leaf", "line").alias("kind"))
-    fitting = stored(marked.join(template, ["leaf", "kind"]).where(
-        F.col("literals") * 100 >= literal_percent * F.col("n_tokens")), "fitting")
-    recurring = (fitting.select("leaf", "template", "doc_id", "text_hash").distinct()
-                 .groupBy("leaf", "template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
-    return fitting.join(recurring, ["leaf", "template"]).select("doc_id", "text_hash", "line_no").distinct()
+    """(doc, line_no, tokens, leaf) of the lines with a word. ``doc`` stands for the row's id and text."""
+    masked = F.regexp_replace(F.translate("text", _BLANKS, " " * len(_BLANKS)), "[0-9]+", "0")
+    first = ", ".join(f"coalesce(try_element_at(tokens, {k}), '')" for k in range(1, DEPTH + 1))
+    return (docs.select("doc", F.posexplode(F.split(masked, "\n")).alias("line_no", "line"))
+            .withColumn("tokens", F.expr("array_remove(split(line, ' '), '')")).where(F.size("tokens") > 0)
+            .select("doc", "line_no", "tokens", F.expr(f"xxhash64(size(tokens), {first})").alias("leaf")))
+
+
+def _in(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """The lines of leaves whose hash bucket holds one of ``leaves``: all of theirs, and a few others."""
+    bucket = F.pmod(F.col("leaf"), F.lit(BUCKETS)).cast("int")
+    marked = leaves.select(bucket.alias("_bucket")).distinct()  # at most BUCKETS rows
+    return lines.join(F.broadcast(marked), bucket == F.col("_bucket"), "left_semi")
+
+
+def _at_places(tokens: str = "tokens") -> str:
+    """A hash of each token and its place."""
+    return f"transform({tokens}, (t, i) -> xxhash64(i, t))"
+
+
+def templates(lines: DataFrame, min_docs: int = MIN_DOCS, literal_percent: int = LITERAL_PERCENT) -> DataFrame:
+    """(leaf, literals: hashes of tokens at their places) of the leaves whose template a line can fit."""
+    leaves = stored(lines.groupBy("leaf").agg(F.count("*").alias("n"), F.first(F.size("tokens")).alias("n_tokens"))
+                    .where(F.col("n") >= min_docs), "leaves")
+    counted = _in(lines, leaves).select("leaf", F.explode(F.expr(_at_places())).alias("at")).groupBy("leaf", "at").agg(
+        F.count("*").alias("held")).where(F.col("held") * 2 > min_docs)
+    major = counted.join(leaves, "leaf").where(F.col("held") * 2 > F.col("n"))
+    return major.groupBy("leaf", "n_tokens").agg(F.collect_list("at").alias("literals")).where(
+        F.size("literals") * 100 >= literal_percent * F.col("n_tokens")).select("leaf", "literals")
+
+
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, literal_percent: int = LITERAL_PERCENT,
+                  long_tokens: int = LONG_TOKENS) -> DataFrame:
+    """(doc, line_no) of every line that recurs. ``docs``: doc, text; ``doc`` tells different rows apart."""
+    lines = _lines(docs)
+    known = stored(templates(lines, min_docs, literal_percent), "templates")
+    fitting = stored(_in(lines, known).join(known, "leaf").where(
+        F.size(F.array_intersect(F.expr(_at_places()), "literals")) * 100 >= literal_percent * F.size("tokens"))
+        .select("doc", "line_no", "leaf"), "fitting")
+    recurring = fitting.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count("*").alias("docs")).where(
+        F.col("docs") >= min_docs).select("leaf")
+    by_template = fitting.join(stored(recurring, "recurring"), "leaf", "left_semi").select("doc", "line_no")
+
+    forms = stored(lines.select("doc", "line_no", F.xxhash64("tokens").alias("form"), F.xxhash64(F.lit(1), "tokens").alias("form2"),
+                                (F.size("tokens") >= long_tokens).alias("long")), "forms")
+    repeated = forms.select("form", "form2", "long", "doc").distinct().groupBy("form", "form2").agg(
+        F.count("*").alias("docs"), F.first("long").alias("long")).where(
+        (F.col("docs") >= min_docs) | (F.col("long") & (F.col("docs") >= 2))).select("form", "form2")
+    by_form = forms.join(stored(repeated, "repeated"), ["form", "form2"], "left_semi").select("doc", "line_no")
+    return by_template.unionByName(by_form).distinct()
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
-                   literal_percent: int = LITERAL_PERCENT) -> DataFrame:
+                   literal_percent: int = LITERAL_PERCENT, long_tokens: int = LONG_TOKENS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_lines (with a word), n_dropped, clean_text (null stays null)."""
     bare = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).withColumn(
-        "text_hash", F.xxhash64("text"))
-    gone = dropped_lines(bare, min_docs, literal_percent).groupBy("doc_id", "text_hash").agg(
-        F.collect_list("line_no").alias("gone")).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "gone")
-    joined = bare.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+        "doc", F.struct(*(F.xxhash64(F.lit(k), F.col("doc_id").isNull(), "doc_id", "text") for k in (1, 2))))
+    gone = dropped_lines(bare.select("doc", "text"), min_docs, literal_percent, long_tokens).groupBy("doc").agg(
+        F.collect_list("line_no").alias("gone"))
+    joined = bare.join(gone, "doc", "left")
     n_lines = F.expr("coalesce(size(filter(split(text, '\\n'), x -> rlike(x, '[^\\\\x20\\\\x09-\\\\x0D]'))), 0)")
-    clean = F.expr("array_join(filter(split(text, '\\n'), (x, i) -> not array_contains(gone, i)), '\\n')")
+    kept = "transform(array_except(sequence(0, size(lines) - 1), gone), i -> element_at(lines, i + 1))"  # in linear time
+    joined = joined.withColumn("lines", F.split("text", "\n"))
     return joined.select(
         "doc_id", F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(clean).alias("clean_text"))
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.expr(kept), "\n")).alias("clean_text"))

@@ -239,32 +239,31 @@ chain AS (SELECT word, word AS at FROM f UNION ALL SELECT chain.word, f.form FRO
 SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n
 FROM f JOIN chain ON chain.word = f.word JOIN f AS last ON last.word = chain.at AND last.form IS NULL""",
     "op9_line_templates": rf"""
-WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
-l AS (
-  SELECT doc_id, text, i, line, regexp_extract_all(line, '{_WORDS}') AS t
-  FROM (SELECT doc_id, text, unnest(generate_series(1, len(p))) AS i, unnest(p) AS line
-        FROM (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM d WHERE text IS NOT NULL))),
-f AS (
-  SELECT *, row_number() OVER () AS r, concat_ws(chr(10), len(t),
-      CASE WHEN regexp_matches(t[1], '[0-9]') THEN '<*>' ELSE t[1] END,
-      coalesce(CASE WHEN regexp_matches(t[2], '[0-9]') THEN '<*>' ELSE t[2] END, ''),
-      coalesce(CASE WHEN regexp_matches(t[3], '[0-9]') THEN '<*>' ELSE t[3] END, '')) AS leaf
-  FROM l WHERE len(t) > 0),
-h AS (SELECT * FROM f WHERE leaf IN (SELECT leaf FROM f GROUP BY leaf HAVING count(*) >= {line_templates.MIN_DOCS})),
-p AS (SELECT r, leaf, pos, token FROM (SELECT r, leaf, unnest(generate_series(1, len(t))) AS pos, unnest(t) AS token FROM h)
-      WHERE NOT regexp_matches(token, '[0-9]')),
-x AS (SELECT leaf, pos, token FROM p GROUP BY ALL HAVING count(*) >= {line_templates.MIN_DOCS}),
-m AS (SELECT r, count(*) AS literals, string_agg(pos || ' ' || token, chr(10) ORDER BY pos) AS template
-      FROM p JOIN x USING (leaf, pos, token) GROUP BY r),
-g AS (SELECT h.doc_id, h.text, h.i, h.line, h.leaf, m.template FROM h JOIN m USING (r)
-      WHERE literals * 100 >= {line_templates.LITERAL_PERCENT} * len(h.t)),
-q AS (SELECT leaf, template FROM (SELECT DISTINCT leaf, template, doc_id, text FROM g)
-      GROUP BY ALL HAVING count(*) >= {line_templates.MIN_DOCS}),
-gone AS (SELECT doc_id, text, count(*) AS n, list(i) AS places FROM g JOIN q USING (leaf, template) GROUP BY doc_id, text)
-SELECT documents.doc_id,
-       len(list_filter(string_split(coalesce(documents.text, ''), chr(10)), lambda z: regexp_matches(z, '{_WORDS}'))) AS n_lines,
-       coalesce(gone.n, 0) AS n_dropped,
-       CASE WHEN gone.n IS NULL THEN length(coalesce(documents.text, '')) ELSE length(array_to_string(list_filter(
-         string_split(documents.text, chr(10)), lambda z, k: NOT list_contains(gone.places, k)), chr(10))) END AS clean_chars
-FROM documents LEFT JOIN gone ON gone.text = documents.text AND gone.doc_id IS NOT DISTINCT FROM documents.doc_id""",
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, text, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(text) AS doc,
+         string_split(regexp_replace(text, '[0-9]+', '0', 'g'), chr(10)) AS p
+  FROM documents WHERE text IS NOT NULL),
+l AS (SELECT r, doc, i, regexp_extract_all(line, '{_WORDS}') AS t
+      FROM (SELECT r, doc, unnest(generate_series(1, len(p))) AS i, unnest(p) AS line FROM d)),
+f AS (SELECT *, len(t) AS n, array_to_string(t, ' ') AS form,
+             concat_ws(chr(10), len(t), t[1], coalesce(t[2], ''), coalesce(t[3], '')) AS leaf FROM l WHERE len(t) > 0),
+leaves AS (SELECT leaf, count(*) AS lines FROM f GROUP BY leaf HAVING count(*) >= {line_templates.MIN_DOCS}),
+tok AS (SELECT r, i, leaf, unnest(generate_series(1, n)) AS pos, unnest(t) AS token FROM f WHERE leaf IN (SELECT leaf FROM leaves)),
+major AS (SELECT leaf, pos, token FROM tok JOIN leaves USING (leaf) GROUP BY leaf, pos, token, lines HAVING count(*) * 2 > lines),
+fit AS (SELECT r, i, leaf FROM f JOIN (SELECT r, i, count(*) AS same FROM tok JOIN major USING (leaf, pos, token) GROUP BY r, i)
+        USING (r, i) WHERE same * 100 >= {line_templates.LITERAL_PERCENT} * n),
+recur AS (SELECT leaf FROM fit JOIN d USING (r) GROUP BY leaf HAVING count(DISTINCT doc) >= {line_templates.MIN_DOCS}),
+same AS (SELECT form FROM f GROUP BY form, n HAVING count(DISTINCT doc) >= {line_templates.MIN_DOCS}
+         OR n >= {line_templates.LONG_TOKENS} AND count(DISTINCT doc) >= 2),
+gone AS (SELECT r, count(*) AS n, list(i) AS places FROM (
+           SELECT r, i FROM fit WHERE leaf IN (SELECT leaf FROM recur)
+           UNION SELECT r, i FROM f WHERE form IN (SELECT form FROM same)) GROUP BY r),
+x AS (SELECT doc_id, text, n, places FROM d LEFT JOIN gone USING (r)
+      UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents WHERE text IS NULL)
+SELECT doc_id,
+       len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda z: regexp_matches(z, '{_WORDS}'))) AS n_lines,
+       coalesce(n, 0) AS n_dropped,
+       CASE WHEN n IS NULL THEN length(coalesce(text, '')) ELSE length(array_to_string(list_filter(
+         string_split(text, chr(10)), lambda z, k: NOT list_contains(places, k)), chr(10))) END AS clean_chars
+FROM x""",
 }
