@@ -1,8 +1,8 @@
 """Operator 8, toxicity by weak supervision.
 
 Voters. Words of a fixed insult lexicon, word forms and word beginnings that the labelled training rows show to be
-far more frequent in toxic texts (counted over all those rows by an aggregation), and patterns (repeated exclamation
-marks, starred words). A voter votes toxic where it occurs and abstains elsewhere; "no voter fires" votes the other
+far more frequent in toxic texts (counted by an aggregation), and patterns (repeated exclamation marks, starred
+words). A voter votes toxic where it occurs and abstains elsewhere; "no voter fires" votes the other
 way; the annotator's label of a training row is a voter as well.
 
 Label model. Expectation maximisation estimates every voter's rate of firing in either class from the votes of a
@@ -11,13 +11,15 @@ bounded sample; voters that agree beyond what their class explains are correlate
 Classifier. A linear model over the voters' occurrences is fitted to the posterior labels, and scores every whole
 text. Language, source, id and label are never inputs.
 
-Learning uses only rows that ``learn`` marks. Defined results: null and empty texts get the score of a text without
+Learning uses about ``MAX_ROWS`` labels of each class, chosen by a hash of the id; each stands for as many labels as its
+class has for one chosen. Defined results: null and empty texts get the score of a text without
 any feature; a null doc_id is no held-out row and never learnt from; repeated rows get equal scores; without labels
 the lexicon alone decides; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from widelines.llm.storage import stored
 from widelines.llm.textkernel import ALNUM_WORDS, Chunk, chunks, mix, span_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -37,9 +40,10 @@ LEXICON = ("idiot idiots moron morons stupid dumb pathetic worthless loser loser
            "imbecile jerk fool ugly hate filthy vermin coward degenerate freak creep lunatic shut disgrace "
            "useless").split()
 PREFIXES = (4, 5, 6)
-#: Voters learnt at most, and training rows whose votes are gathered for the fit (about 40 bytes each).
+#: Voters learnt at most, and labels of each class that are learnt from, about (their ids are broadcast).
 MAX_VOTERS = 4096
-MAX_ROWS = 40_000
+MAX_ROWS = 20_000
+HASH_RANGE = 1 << 40
 MIN_TOXIC_TEXTS = 3
 MIN_GAIN = 12.0
 #: Patterns by the byte that repeats: a text with three or more "!" or "*".
@@ -135,14 +139,15 @@ def votes(df: DataFrame, codes: np.ndarray, toxic: str) -> DataFrame:
     return df.select("text", F.col(toxic).cast("int").alias("toxic")).mapInArrow(run, "toxic int, voters array<int>")
 
 
-def label_model(rows: np.ndarray, cols: np.ndarray, n_voters: int, labels: np.ndarray, rounds: int = 30) -> np.ndarray:
+def label_model(rows: np.ndarray, cols: np.ndarray, n_voters: int, labels: np.ndarray, counts: np.ndarray,
+                rounds: int = 30) -> np.ndarray:
     """Posterior of being toxic for each text, from votes (text ``rows[i]``, voter ``cols[i]``) and annotator labels
-    (1, 0, or -1 for none). Voters that fire together beyond their class's rates share their weight."""
+    (1, 0, or -1 for none); a text counts as ``counts`` texts. Voters that fire together beyond their class's rates share their weight."""
     n = len(labels)
     fired = np.bincount(rows, minlength=n) > 0
     post = np.where(labels >= 0, np.where(labels == 1, 0.9, 0.1), np.where(fired, 0.7, 0.1))
     for step in range(rounds):
-        weight = np.stack([1 - post, post])
+        weight = np.stack([1 - post, post]) * counts
         total = weight.sum(axis=1) + 2.0
         firing = np.stack([np.bincount(cols, w[rows], n_voters) + 1.0 for w in weight]) / total[:, None]
         if step in (0, rounds // 2):
@@ -179,44 +184,55 @@ def _shares(rows, cols, n_voters, firing, mass, texts: int = 2000, block: int =
     return 1.0 / (1.0 + partners)
 
 
-def fit_linear(rows: np.ndarray, cols: np.ndarray, n_voters: int, target: np.ndarray, ridge: float = 0.05,
-               rounds: int = 300) -> tuple[np.ndarray, float]:
+def fit_linear(rows: np.ndarray, cols: np.ndarray, n_voters: int, target: np.ndarray, counts: np.ndarray,
+               ridge: float = 0.05, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression of soft labels on occurrences, by accelerated gradient steps."""
-    n = max(len(target), 1)
+    n, total = max(len(target), 1), max(counts.sum(), 1.0)
     degree = np.bincount(rows, minlength=n)
     rate = 4.0 / (1.0 + np.mean(degree) + degree.max(initial=0))
-    w, b = np.zeros(n_voters), float(np.log((target.sum() + 0.5) / (n - target.sum() + 0.5)))
+    w, b = np.zeros(n_voters), float(np.log((target @ counts + 0.5) / (total - target @ counts + 0.5)))
     u, c = w.copy(), b
-    scale = np.maximum(np.bincount(cols, minlength=n_voters), 1.0)
+    scale = np.maximum(np.bincount(cols, counts[rows], n_voters), 1.0)
     for step in range(rounds):
         logit = c + np.bincount(rows, u[cols], n)
-        error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target
+        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target) * counts
         grad = (np.bincount(cols, error[rows], n_voters) + ridge * u) / scale
-        new_w, new_b = u - rate * grad, c - 4.0 * error.mean()
+        new_w, new_b = u - rate * grad, c - 4.0 * error.sum() / total
         push = step / (step + 3.0)
         u, c = new_w + push * (new_w - w), new_b + push * (new_b - b)
         w, b = new_w, new_b
     return w, b
 
 
-def train(labelled: DataFrame, max_rows: int = MAX_ROWS, max_voters: int = MAX_VOTERS):
-    """(sorted feature codes, weights, intercept) from ``labelled`` (doc_id, text, toxic). Counts cover all its rows;
-    votes for the fit are gathered of at most about ``max_rows`` of them, chosen by a hash of the id."""
+def chosen_labels(known: DataFrame, max_rows: int = MAX_ROWS) -> tuple[DataFrame, dict[bool, float]]:
+    """(doc_id, toxic) of at most about ``max_rows`` labels of each class, chosen by a hash of the id so that no
+    layout matters, and for each class the labels that one of them stands for."""
+    size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = {k: min(1.0, max_rows / n) for k, n in size.items()}
+    limit = F.when(F.col("toxic"), F.lit(math.ceil(share.get(True, 1.0) * HASH_RANGE))).otherwise(
+        F.lit(math.ceil(share.get(False, 1.0) * HASH_RANGE)))
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE)) < limit), {k: 1 / s for k, s in share.items()}
+
+
+def train(docs: DataFrame, known: DataFrame, max_rows: int = MAX_ROWS, max_voters: int = MAX_VOTERS):
+    """(sorted feature codes, weights, intercept) from the texts of ``docs`` (doc_id, text) that ``known`` (doc_id,
+    toxic) labels. The chosen labels are broadcast, so that one scan of the texts finds theirs and none is shuffled."""
+    chosen, weight = chosen_labels(known, max_rows)
+    labelled = stored(docs.join(F.broadcast(chosen), "doc_id"), "labelled")
     size = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0)).alias("t")).first()
     lexicon = [word_code(w) for w in LEXICON]
     learnt = learnt_codes(labelled, size["t"], size["n"] - size["t"], max_voters) if 0 < size["t"] < size["n"] else []
     codes = np.unique(np.concatenate([np.array(lexicon + [int(c) for c in PATTERNS.values()], np.uint64), _unsigned(learnt)]))
-    share = min(1.0, max_rows / max(size["n"], 1))
-    some = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    table = votes(some, codes, "toxic").toArrow()
+    table = votes(labelled, codes, "toxic").toArrow()
     if not table.num_rows:
         return codes, np.isin(codes, np.array(lexicon, np.uint64)) * 4.0, -3.0
     counts = table["voters"].combine_chunks().value_lengths().to_numpy()
     rows = np.repeat(np.arange(table.num_rows), counts)
     cols = table["voters"].combine_chunks().flatten().to_numpy().astype(np.int64)
     labels = table["toxic"].to_numpy().astype(np.int64)
-    post = label_model(rows, cols, len(codes), labels)
-    weights, base = fit_linear(rows, cols, len(codes), post)
+    stands_for = np.where(labels == 1, weight.get(True, 1.0), weight.get(False, 1.0))
+    post = label_model(rows, cols, len(codes), labels, stands_for)
+    weights, base = fit_linear(rows, cols, len(codes), post, stands_for)
     unseen = np.isin(codes, np.array(lexicon, np.uint64)) & (np.bincount(cols, minlength=len(codes)) == 0)
     return codes, np.where(unseen, 4.0, weights), base
 
@@ -255,7 +271,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
     bare = docs.select("doc_id", "text")
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select(
         "doc_id", (F.col("toxic") == 1).alias("toxic"))
-    model = train(bare.join(known, "doc_id"))
+    model = train(bare, known)
     scored = score_texts(bare, model)
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
