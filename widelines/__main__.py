@@ -31,6 +31,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", help="output root (default: below spark.checkpoint.dir)")
     ap.add_argument("--run-date", help="YYYY-MM-DD stamped into export names (default: today)")
     ap.add_argument("--no-export", action="store_true", help="skip the CSV export")
+    ap.add_argument("--gzip", action="store_true", help="compress the CSV export")
+    ap.add_argument("--by-date", action="store_true", help="split order-grained exports into a folder per order day")
+    ap.add_argument("--masked", action="store_true", help="mask customers' names, emails and phones in the export")
+    ap.add_argument("--no-resume", action="store_true", help="build anew even if an earlier run stored builds")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName("widelines")
@@ -41,7 +45,9 @@ def main(argv: list[str] | None = None) -> int:
            else fixture_sources(spark, args.test_tables))
     out = args.out or scratch_path(spark, "run")
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
-    result = run_pipeline(spark, src, out, run_date=run_date, export=not args.no_export)
+    result = run_pipeline(spark, src, out, run_date=run_date, export=not args.no_export,
+                          compression="gzip" if args.gzip else None, by_date=args.by_date, masked=args.masked,
+                          resume=not args.no_resume)
     print(json.dumps({
         "version": result.version,
         "published": result.published,
@@ -50,6 +56,10 @@ def main(argv: list[str] | None = None) -> int:
         "issues": result.issues,
         "financial_ok": result.financial_ok,
         "exports": result.exports,
+        "export_files": {name: {k: m[k] for k in ("rows", "money", "bytes", "seconds")} | {"files": len(m["files"])}
+                         for name, m in result.manifests.items()},
+        "errors": result.errors,
+        "resumed": result.resumed,
         "seconds": {k: round(v, 3) for k, v in result.timings.items()},
         "out": out,
     }, indent=2))

@@ -91,6 +91,14 @@ def masked_fact(fact: DataFrame) -> DataFrame:
     })
 
 
+def masked_lines(lines: DataFrame) -> DataFrame:
+    """EXT-07 for the line items: the customer's email and name masked."""
+    return lines.withColumns({
+        "customer_email": mask_email("customer_email"),
+        "customer_name": F.concat(F.substring("customer_name", 1, 1), F.lit(".")),
+    })
+
+
 def customer_order_history(lines: DataFrame) -> DataFrame:
     """EXT-08: each customer's orders with their line counts and amounts."""
     return lines.groupBy("customer_id", "order_id", "order_date", "invoice_number").agg(

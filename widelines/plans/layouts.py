@@ -91,7 +91,8 @@ def arrange(df: DataFrame, layout: Layout) -> DataFrame:
 
 
 def writer_options(layout: Layout) -> dict[str, str]:
-    opts = {"parquet.block.size": ROW_GROUP_BYTES, "compression": "zstd"}
+    opts = {"parquet.block.size": ROW_GROUP_BYTES, "compression": "zstd",
+            "parquet.bloom.filter.adaptive.enabled": "true"}  # sized by the values, not 1 MB in every file
     for col in layout.bloom:
         opts[f"parquet.bloom.filter.enabled#{col}"] = "true"
     return opts
@@ -133,7 +134,7 @@ def write_layout(df: DataFrame, root: str, table: str, version: str | None = Non
 
 def read_layout(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Live version with its partition columns (needed for pruning)."""
-    return read_current(spark, root, table)
+    return read_current(spark, root, table, stored_schema(table) if table in LAYOUTS else None)
 
 
 def write_bucketed(df: DataFrame, table_name: str, path: str, key: str, num_buckets: int,

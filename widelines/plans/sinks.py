@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import logging
 import uuid
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ from pyspark.sql import types as T
 
 from widelines.plans import publish_log
 
+LOG = logging.getLogger("widelines")
+
 # CSV dialect of PostgreSQL ``COPY ... CSV HEADER``: NULL is an
 # empty field, an empty string is "", quotes are doubled, blanks are kept,
 # timestamps use a space.
@@ -158,8 +161,7 @@ def export_csv(df: DataFrame, out_dir: str, table: str, run_date: _dt.date,
                ) -> tuple[bool, str]:
     """SNK-03: COPY-compatible CSV, one folder of part files written in parallel.
 
-    Returns ``(ok, path)``; a failure returns ``(False, "")`` and is logged by
-    the caller, as the original job does.
+    Returns ``(ok, path)``; a failure is logged and returns ``(False, "")``.
     """
     path = f"{out_dir.rstrip('/')}/{export_name(table, run_date)}.csv"
     try:
@@ -170,21 +172,11 @@ def export_csv(df: DataFrame, out_dir: str, table: str, run_date: _dt.date,
             w = w.partitionBy(*partition_by)
         w.csv(path)
         return True, path
-    except Exception:  # noqa: BLE001
+    except Exception as error:  # noqa: BLE001 - reported as a failed export
+        LOG.error("export of %s to %s failed: %s", table, path, str(error)[:2000])
         return False, ""
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read an export back with its schema; ``''`` and NULL stay distinct."""
     return spark.read.options(**COPY_CSV_READ).schema(schema).csv(path)
-
-
-def export_all(tables: dict[str, DataFrame], out_dir: str, run_date: _dt.date
-               ) -> dict[str, str]:
-    """SNK-04: export each table; failed tables are left out of the result."""
-    out = {}
-    for name, df in tables.items():
-        ok, path = export_csv(df, out_dir, name, run_date)
-        if ok:
-            out[name] = path
-    return out
