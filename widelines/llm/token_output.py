@@ -7,7 +7,8 @@ read alone. A document's offset is the ids of earlier ranges, of earlier blocks,
 block.
 
 Tokenising. The vocabulary never joins text across white space, so a text's ids are the ids of its parts between
-ASCII blanks; every different part is encoded once per batch by the tokenizers library and kept for later batches.
+ASCII blanks; every different part is encoded by the tokenizers library once per worker process, which remembers parts
+by 64-bit fingerprints from batch to batch and task to task.
 
 Defined results: null and empty texts have the end id only; null doc_ids come first; rows of one doc_id are ordered by
 text (null first) and each is written; an empty table gives an empty result.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import os
 import sys
+import types
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -30,14 +32,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from widelines.llm.storage import stored
+from widelines.llm.textkernel import span_hashes
 from widelines.llm.token_codec import decode_block, encode_block
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END = 1
 BLOCK_IDS = 1 << 20
-#: Different parts kept between batches; beyond it the memory starts anew.
-KEPT_PARTS = 400_000
+#: Different parts that a worker process remembers (about 30 bytes each); beyond it the memory starts anew.
+KEPT_PARTS = 4_000_000
 #: Texts tokenised at once: bounds the memory of a batch.
 SLICE_BYTES = 4 << 20
 BLOCKS = "part long, block long, doc_ids array<long>, lengths array<long>, n_ids long, ids binary"
@@ -53,7 +56,7 @@ def _pieces(part: str) -> tuple[str, str]:
 
 
 class Encoder:
-    """Ids of whole texts, through a memory of parts."""
+    """Ids of whole texts, through a memory of parts: sorted fingerprints of the parts, and their ids in a row."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,31 +67,67 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, list[int]] = {"": []}
+        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each part is remembered, or -1."""
+        at = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == hashes[inside]
+        return np.where(known, at, -1)
+
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        pairs = [_pieces(w) for w in parts]
+        pieces = list({p for pair in pairs for p in pair if p})
+        ids = dict(zip(pieces, (x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False))))
+        ids[""] = []
+        own = [ids[a] + ids[b] for a, b in pairs]
+        count = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter(chain.from_iterable(own), np.int32, int(count.sum()))
+        keys = np.concatenate([self.keys, hashes])
+        first = np.concatenate([self.first, np.cumsum(count) - count + len(self.flat)])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.first, self.count = keys[order], first[order], np.concatenate([self.count, count])[order]
+        self.flat = np.concatenate([self.flat, flat])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each ended by ``END``; ids of each text)."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = split.flatten().dictionary_encode()
-        kinds = [w or "" for w in words.dictionary.to_pylist()]
-        if len(self.known) > KEPT_PARTS:
+        kinds = words.dictionary.cast(pa.large_string())
+        _, bounds, data = kinds.buffers()
+        bounds = np.frombuffer(bounds, np.int64)[kinds.offset : kinds.offset + len(kinds) + 1] if len(kinds) else np.zeros(1, np.int64)
+        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        full = np.flatnonzero(np.diff(bounds))  # blanks at an end leave an empty part
+        hashes = span_hashes(data, bounds[:-1][full], bounds[1:][full])
+        at = self._find(hashes)
+        new = np.flatnonzero(at < 0)
+        if len(self.keys) + len(new) > KEPT_PARTS:
             self._forget()
-        parts = [_pieces(w) for w in kinds]
-        new = list({p for pair in parts for p in pair if p not in self.known})
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = found.ids
-        own = [self.known[a] + self.known[b] for a, b in parts]
-        lengths = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter(chain.from_iterable(own), np.int32, int(lengths.sum()))
-        first = np.cumsum(lengths) - lengths
-        at = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        counts = lengths[at]
-        out = flat[np.repeat(first[at] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))]
+            new = np.arange(len(hashes))
+        if len(new):
+            self._learn(hashes[new], kinds.take(pa.array(full[new])).to_pylist())
+            at = self._find(hashes)
+        first, count = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
+        first[full], count[full] = self.first[at], self.count[at]
+        kind = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = count[kind]
+        out = self.flat[np.repeat(first[kind] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))]
         ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]
         per_text = np.diff(np.concatenate([[0], ends])) + 1
         return np.insert(out, ends, END), per_text
 
 
+def worker_encoder(path: str) -> Encoder:
+    """This worker process's encoder; it and its memory are kept for the tasks to come."""
+    kept = vars(sys.modules.setdefault("_widelines_encoders", types.ModuleType("_widelines_encoders")))
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
     number = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
@@ -118,7 +157,7 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pa
                 names=["part", "block", "doc_ids", "lengths", "n_ids", "ids"])
 
         for batch in batches:
-            encoder = encoder or Encoder(path)
+            encoder = encoder or worker_encoder(path)
             for rows in _slices(batch):
                 ids, lengths = encoder.encode(rows.column(1))
                 ends = np.cumsum(lengths)
