@@ -55,6 +55,17 @@ def _pieces(part: str) -> tuple[str, str]:
     return (part[:-1], part[-1]) if part[-1:] in (".", ",") and part[-2:-1].isalpha() else (part, "")
 
 
+def _hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(indices of the strings that are not empty, as blanks at a text's end leave some; their fingerprints)."""
+    if not len(strings):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    _, bounds, data = strings.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    full = np.flatnonzero(np.diff(bounds))
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return full, span_hashes(data, bounds[:-1][full], bounds[1:][full])
+
+
 class Encoder:
     """Ids of whole texts, through a memory of parts: sorted fingerprints of the parts, and their ids in a row."""
 
@@ -78,30 +89,37 @@ class Encoder:
         known[inside] = self.keys[at[inside]] == hashes[inside]
         return np.where(known, at, -1)
 
-    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
-        pairs = [_pieces(w) for w in parts]
-        pieces = list({p for pair in pairs for p in pair if p})
-        ids = dict(zip(pieces, (x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False))))
-        ids[""] = []
-        own = [ids[a] + ids[b] for a, b in pairs]
-        count = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter(chain.from_iterable(own), np.int32, int(count.sum()))
+    def _add(self, hashes: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
         keys = np.concatenate([self.keys, hashes])
         first = np.concatenate([self.first, np.cumsum(count) - count + len(self.flat)])
         order = np.argsort(keys, kind="stable")
         self.keys, self.first, self.count = keys[order], first[order], np.concatenate([self.count, count])[order]
         self.flat = np.concatenate([self.flat, flat])
 
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        """Remember parts by the ids of their pieces, many of which are remembered from other parts."""
+        pairs = [_pieces(w) for w in parts]
+        pieces = np.array(list({p for pair in pairs for p in pair if p}), object)
+        made = _hashes(pa.array(pieces, pa.large_string()))[1]
+        unknown = np.flatnonzero(self._find(made) < 0)
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(list(pieces[unknown]), add_special_tokens=False)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(made[unknown], count, np.fromiter(chain.from_iterable(found), np.int32, int(count.sum())))
+        place = dict(zip(pieces, self._find(made).tolist()))
+        at = np.array([[place.get(x, -1) for x in pair] for pair in pairs], np.int64).reshape(-1)
+        lengths = np.where(at < 0, 0, self.count[at])
+        begin = np.where(at < 0, 0, self.first[at])
+        flat = self.flat[np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+        whole = self._find(hashes) < 0  # a part that is a piece itself is remembered by now
+        self._add(hashes[whole], lengths.reshape(-1, 2).sum(axis=1)[whole],
+                  flat[np.repeat(whole, lengths.reshape(-1, 2).sum(axis=1))])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each ended by ``END``; ids of each text)."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = split.flatten().dictionary_encode()
         kinds = words.dictionary.cast(pa.large_string())
-        _, bounds, data = kinds.buffers()
-        bounds = np.frombuffer(bounds, np.int64)[kinds.offset : kinds.offset + len(kinds) + 1] if len(kinds) else np.zeros(1, np.int64)
-        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        full = np.flatnonzero(np.diff(bounds))  # blanks at an end leave an empty part
-        hashes = span_hashes(data, bounds[:-1][full], bounds[1:][full])
+        full, hashes = _hashes(kinds)
         at = self._find(hashes)
         new = np.flatnonzero(at < 0)
         if len(self.keys) + len(new) > KEPT_PARTS:
