@@ -33,6 +33,7 @@ from widelines.operators import access, checks, reports  # noqa: E402
 from widelines.operators.catalog import service_parts_catalog  # noqa: E402
 from widelines.operators.fact import sales_order_fact  # noqa: E402
 from widelines.operators.line_items import sales_order_line_items  # noqa: E402
+from widelines.plans.file_index import build_file_index, lookup  # noqa: E402
 from widelines.plans.layouts import write_layout  # noqa: E402
 from widelines.plans.pipeline import run_pipeline  # noqa: E402
 from widelines.plans.sinks import export_csv  # noqa: E402
@@ -65,12 +66,12 @@ def main() -> None:
 
     # stored versions for the checks and the export (written once, untimed)
     stored_root = f"{scratch}/stored"
-    stored, laid = {}, {}
+    stored, laid, laid_version = {}, {}, {}
     for name, df in (("sales_order_fact", sales_order_fact(src)),
                      ("sales_order_line_items", sales_order_line_items(src)),
                      ("service_parts_catalog", service_parts_catalog(src, ordered=False))):
         w = write_layout(df, stored_root, name)
-        laid[name] = spark.read.parquet(w.path)
+        laid[name], laid_version[name] = spark.read.parquet(w.path), w.version
         stored[name] = laid[name].drop("order_year", "order_month")
     pool = ThreadPoolExecutor(max_workers=4)
 
@@ -78,8 +79,10 @@ def main() -> None:
         f, li = stored["sales_order_fact"], stored["sales_order_line_items"]
         jobs = [pool.submit(lambda: checks.reconcile_fact(src, f).first()),
                 pool.submit(lambda: checks.reconcile_source(src, f).first()),
-                pool.submit(lambda: checks.reconcile_lines(src, li).first())]
+                pool.submit(lambda: checks.reconcile_lines(src, li).first()),
+                pool.submit(lambda: checks.reconcile_counts(src, li).first())]
         rows = [j.result() for j in jobs]
+        assert not any(rows.pop().asDict().values())
         issues = checks.reconciled_issues(*rows)
         assert not any(issues.values()) and checks.reconciled_financial_ok(rows[0], rows[1])
 
@@ -122,6 +125,26 @@ def main() -> None:
         cutoff = datetime.datetime(2001, 1, 1)
         noop(refresh_fact(src, stored["sales_order_fact"], changed_since(src, cutoff)))
 
+    # EXT-14: one question on the normalised and on the wide tables, and the comparison of all rows
+    def state_revenue_normalized():
+        reports.revenue_by_state_normalized(src).collect()
+
+    def state_revenue_wide():
+        reports.revenue_by_state_wide(stored["sales_order_fact"]).collect()
+
+    def row_diff():
+        assert reports.row_diff(stored["sales_order_fact"], sales_order_fact(src), "order_id").isEmpty()
+
+    index_root, version = stored_root, laid_version["sales_order_line_items"]
+    build_file_index(spark, index_root, "sales_order_line_items", version, ("order_id",), ("order_id",))
+    some = [r[0] for r in stored["sales_order_fact"].select("order_id").orderBy(F.desc("total_amount")).limit(20).collect()]
+
+    def lines_of_orders_indexed():
+        noop(lookup(spark, index_root, "sales_order_line_items", "order_id", some))
+
+    def lines_of_orders_scanned():
+        noop(laid["sales_order_line_items"].join(spark.createDataFrame([(i,) for i in some], ["order_id"]), "order_id", "left_semi"))
+
     cases = {
         "sales_order_fact": fact,
         "sales_order_line_items": lines,
@@ -135,6 +158,11 @@ def main() -> None:
         "parts_demand": parts_demand,
         "daily_rollup": daily_rollup,
         "incremental_refresh": incremental_refresh,
+        "state_revenue_normalized": state_revenue_normalized,
+        "state_revenue_wide": state_revenue_wide,
+        "row_diff": row_diff,
+        "lines_of_orders_indexed": lines_of_orders_indexed,
+        "lines_of_orders_scanned": lines_of_orders_scanned,
     }
     pipeline()  # warm-up: JIT, file listing caches, Python workers
     timings = {}

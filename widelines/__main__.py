@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--by-date", action="store_true", help="split order-grained exports into a folder per order day")
     ap.add_argument("--masked", action="store_true", help="mask customers' names, emails and phones in the export")
     ap.add_argument("--no-resume", action="store_true", help="build anew even if an earlier run stored builds")
+    ap.add_argument("--pinned", action="store_true", help="store the sources first and run on that state")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName("widelines")
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     result = run_pipeline(spark, src, out, run_date=run_date, export=not args.no_export,
                           compression="gzip" if args.gzip else None, by_date=args.by_date, masked=args.masked,
-                          resume=not args.no_resume)
+                          resume=not args.no_resume, pinned=args.pinned)
     print(json.dumps({
         "version": result.version,
         "published": result.published,
@@ -60,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
                          for name, m in result.manifests.items()},
         "errors": result.errors,
         "resumed": result.resumed,
+        "source_prints": result.source_prints,
         "seconds": {k: round(v, 3) for k, v in result.timings.items()},
         "out": out,
     }, indent=2))

@@ -101,8 +101,9 @@ def sales_order_line_items(src: Sources, kinds: tuple[str, ...] = (PART, SERVICE
 
     items = src.broadcast_if_small(item_dimension(src, kinds), ("auto_parts", "service"),
                                    max_broadcast_rows)
+    orders = src.broadcast_if_small(order_context(src, max_broadcast_rows), ("sales_order", "customers"), max_broadcast_rows)
     return (lines
-            .join(order_context(src, max_broadcast_rows), "order_id", "inner")
+            .join(orders, "order_id", "inner")
             .join(items, ["line_item_type", "item_code"], "inner")
             .select(*LINE_ITEM_COLUMNS))
 

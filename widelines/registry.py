@@ -962,9 +962,8 @@ SELECT state, line_item_type, count(*) AS line_count,
 FROM w_lines GROUP BY ALL""")
 def q_wide_views(spark, sf_dir):
     src = _src(spark, sf_dir)
-    sales_order_line_items(src).createOrReplaceTempView("sales_order_line_items")
-    sales_order_fact(src).createOrReplaceTempView("sales_order_fact")
-    service_parts_catalog(src, ordered=False).createOrReplaceTempView("service_parts_catalog")
+    wide = {"lines": sales_order_line_items(src), "fact": sales_order_fact(src)}
+    # frames as arguments of the statement: no view of the session is replaced
     return spark.sql("""
-        SELECT state, line_item_type, count(*) AS line_count, sum(line_total) AS total_revenue
-        FROM sales_order_line_items GROUP BY state, line_item_type""")
+        SELECT f.state, l.line_item_type, count(*) AS line_count, sum(l.line_total) AS total_revenue
+        FROM {lines} l JOIN {fact} f ON f.order_id = l.order_id GROUP BY f.state, l.line_item_type""", **wide)

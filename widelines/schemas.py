@@ -115,6 +115,3 @@ WIDE = {
     "sales_order_line_items": SALES_ORDER_LINE_ITEMS,
     "service_parts_catalog": SERVICE_PARTS_CATALOG,
 }
-
-# Check results share one shape.
-CHECK_RESULT = _struct(("check_name", S), ("issue_count", L))

@@ -23,7 +23,6 @@ SCALE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Broadcast policy: never from a static size estimate (file sizes can
     # hide a 10x expansion); only explicit broadcasts behind a row-count
