@@ -43,7 +43,7 @@ from widelines.llm.textkernel import WHITESPACE_WORDS, Chunk, chunks, mix, span_
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS = 5
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 ID_BUCKETS = 1 << 20
 #: Members, and bytes of their sets, of one block of a bucket; a cell holds one or two blocks.
 BLOCK_MEMBERS, BLOCK_BYTES = 512, 32 << 20
