@@ -35,7 +35,10 @@ _BLANKS = "\t\x0b\x0c\r"
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc, line_no, tokens, leaf) of the lines with a word. ``doc`` stands for the row's id and text."""
-    masked = F.regexp_replace(F.translate("text", _BLANKS, " " * len(_BLANKS)), "[0-9]+", "0")
+    masked = F.col("text")
+    for blank in _BLANKS:
+        masked = F.replace(masked, F.lit(blank), F.lit(" "))
+    masked = F.regexp_replace(masked, "[0-9]+", "0")
     first = ", ".join(f"coalesce(try_element_at(tokens, {k}), '')" for k in range(1, DEPTH + 1))
     return (docs.select("doc", F.posexplode(F.split(masked, "\n")).alias("line_no", "line"))
             .withColumn("tokens", F.expr("array_remove(split(line, ' '), '')")).where(F.size("tokens") > 0)
@@ -54,10 +57,10 @@ def _at_places(tokens: str = "tokens") -> str:
     return f"transform({tokens}, (t, i) -> xxhash64(i, t))"
 
 
-def templates(lines: DataFrame, min_docs: int = MIN_DOCS, literal_percent: int = LITERAL_PERCENT) -> DataFrame:
-    """(leaf, literals: hashes of tokens at their places) of the leaves whose template a line can fit."""
-    leaves = stored(lines.groupBy("leaf").agg(F.count("*").alias("n"), F.first(F.size("tokens")).alias("n_tokens"))
-                    .where(F.col("n") >= min_docs), "leaves")
+def templates(lines: DataFrame, leaves: DataFrame, min_docs: int = MIN_DOCS,
+              literal_percent: int = LITERAL_PERCENT) -> DataFrame:
+    """(leaf, literals: hashes of tokens at their places) of the leaves whose template a line can fit. ``leaves``: leaf,
+    n (lines), n_tokens of those with enough lines."""
     counted = _in(lines, leaves).select("leaf", F.explode(F.expr(_at_places())).alias("at")).groupBy("leaf", "at").agg(
         F.count("*").alias("held")).where(F.col("held") * 2 > min_docs)
     major = counted.join(leaves, "leaf").where(F.col("held") * 2 > F.col("n"))
@@ -69,7 +72,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, literal_percent: in
                   long_tokens: int = LONG_TOKENS) -> DataFrame:
     """(doc, line_no) of every line that recurs. ``docs``: doc, text; ``doc`` tells different rows apart."""
     lines = _lines(docs)
-    known = stored(templates(lines, min_docs, literal_percent), "templates")
+    forms = stored(lines.select("doc", "line_no", "leaf", F.size("tokens").alias("n_tokens"), F.xxhash64("tokens").alias("form"),
+                                F.xxhash64(F.lit(1), "tokens").alias("form2")), "forms")
+    leaves = stored(forms.groupBy("leaf").agg(F.count("*").alias("n"), F.first("n_tokens").alias("n_tokens"))
+                    .where(F.col("n") >= min_docs), "leaves")
+    known = stored(templates(lines, leaves, min_docs, literal_percent), "templates")
     fitting = stored(_in(lines, known).join(known, "leaf").where(
         F.size(F.array_intersect(F.expr(_at_places()), "literals")) * 100 >= literal_percent * F.size("tokens"))
         .select("doc", "line_no", "leaf"), "fitting")
@@ -77,11 +84,9 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, literal_percent: in
         F.col("docs") >= min_docs).select("leaf")
     by_template = fitting.join(stored(recurring, "recurring"), "leaf", "left_semi").select("doc", "line_no")
 
-    forms = stored(lines.select("doc", "line_no", F.xxhash64("tokens").alias("form"), F.xxhash64(F.lit(1), "tokens").alias("form2"),
-                                (F.size("tokens") >= long_tokens).alias("long")), "forms")
-    repeated = forms.select("form", "form2", "long", "doc").distinct().groupBy("form", "form2").agg(
-        F.count("*").alias("docs"), F.first("long").alias("long")).where(
-        (F.col("docs") >= min_docs) | (F.col("long") & (F.col("docs") >= 2))).select("form", "form2")
+    repeated = forms.select("form", "form2", "n_tokens", "doc").distinct().groupBy("form", "form2").agg(
+        F.count("*").alias("docs"), F.first("n_tokens").alias("n_tokens")).where(
+        (F.col("docs") >= min_docs) | ((F.col("n_tokens") >= long_tokens) & (F.col("docs") >= 2))).select("form", "form2")
     by_form = forms.join(stored(repeated, "repeated"), ["form", "form2"], "left_semi").select("doc", "line_no")
     return by_template.unionByName(by_form).distinct()
 
