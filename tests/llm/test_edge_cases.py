@@ -53,7 +53,8 @@ def empty(spark, tmp_path_factory):
     return folder(spark, tmp_path_factory.mktemp("empty"), [], [], [], [])
 
 
-@pytest.mark.parametrize("name", q.QUERIES)
+# Ranks and words are not a row per row: the tests of those two queries hold their edge rows.
+@pytest.mark.parametrize("name", sorted(set(q.QUERIES) - {"op11_ranked_search", "op13_spelling_variants"}))
 def test_every_row_of_the_edge_table_gets_a_row(spark, edge, name):
     rows = q.QUERIES[name](spark, edge).collect()
     assert len(rows) == len(PAGES if name.startswith("op4_") else ROWS)
