@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from widelines import registry
 from widelines.operators import access
 from widelines.operators.fact import sales_order_fact
 from widelines.plans import layouts
@@ -57,3 +58,15 @@ def test_layout_files_sorted_by_key(spark, scratch):
                 .groupBy("f").agg(F.min("order_id").alias("lo"), F.max("order_id").alias("hi"),
                                   F.countDistinct("order_year", "order_month").alias("parts")))
     assert per_file.where("parts > 1").count() == 0  # one month per file
+
+
+def test_a_lookup_stores_only_the_tables_it_reads(spark, monkeypatch):
+    made = []
+    write = layouts.write_layout
+    monkeypatch.setattr(registry, "_LAYOUT_ROOTS", {})
+    monkeypatch.setattr(registry.layouts, "write_layout", lambda df, root, name, *a, **kw: made.append(name) or write(df, root, name, *a, **kw))
+    for _ in range(2):  # the second lookup finds what the first one stored
+        assert registry.QUERIES["fact_by_status"](spark, SF).count() > 0
+    assert made == ["sales_order_fact"]
+    registry.QUERIES["catalog_by_service"](spark, SF).count()
+    assert made == ["sales_order_fact", "service_parts_catalog"]

@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as _dt
 import threading
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,9 +80,10 @@ def _catalog(spark, sf_dir, ordered=True):
     return service_parts_catalog(_src(spark, sf_dir), ordered=ordered)
 
 
-# Layouts are written once per application and state of the folder, and shared by every lookup.
+# A table's layout, index and curve are written once per application and state of the folder, when the first lookup
+# reads them, and shared by all later ones.
 _LAYOUT_ROOTS: dict[tuple, str] = {}
-_LOOKUP_ROOTS: dict[tuple, str] = {}
+_STORED: set[tuple] = set()
 _REFRESH_ROOTS: dict[tuple, str] = {}
 _LAYOUT_LOCK = threading.RLock()
 
@@ -93,52 +93,51 @@ def _folder_state(spark, sf_dir) -> tuple:
     return (spark.sparkContext.applicationId, sf_dir, tuple(sorted((n, t) for n, _, t in store.names(""))))
 
 
-def _layout_root(spark, sf_dir) -> str:
+def _once(spark, sf_dir, step, table, write) -> str:
+    """The folder of the laid-out tables, after ``write(root)`` has stored ``step`` of ``table`` there."""
     key = _folder_state(spark, sf_dir)
     with _LAYOUT_LOCK:
-        if key not in _LAYOUT_ROOTS:
-            root = scratch_path(spark, "layouts")
-            src = _src(spark, sf_dir)
-            plans = {"sales_order_fact": sales_order_fact(src),
-                     "sales_order_line_items": sales_order_line_items(src),
-                     "service_parts_catalog": service_parts_catalog(src, ordered=False)}
-            with ThreadPoolExecutor(max_workers=len(plans)) as pool:
-                for fut in [pool.submit(layouts.write_layout, df, root, name)
-                            for name, df in plans.items()]:
-                    fut.result()
-            _LAYOUT_ROOTS[key] = root
-        return _LAYOUT_ROOTS[key]
-
-
-def _lookup_root(spark, sf_dir) -> str:
-    """The layouts with their lookup indexes, and the order-grained tables along their curves."""
-    key = _folder_state(spark, sf_dir)
-    with _LAYOUT_LOCK:
-        if key not in _LOOKUP_ROOTS:
-            root = _layout_root(spark, sf_dir)
+        root = _LAYOUT_ROOTS.setdefault(key, scratch_path(spark, "layouts"))
+        if (root, step, table) not in _STORED:
+            write(root)
+            _STORED.add((root, step, table))
+        return root
+
+
+def _layout_root(spark, sf_dir, table) -> str:
+    builds = {"sales_order_fact": _fact, "sales_order_line_items": _lines,
+              "service_parts_catalog": lambda *at: _catalog(*at, ordered=False)}
+    return _once(spark, sf_dir, "layout", table,
+                 lambda root: layouts.write_layout(builds[table](spark, sf_dir), root, table))
+
+
+def _index_root(spark, sf_dir, table) -> str:
+    """The layout of ``table`` with its lookup index."""
+    def index(root):
+        build_file_index(spark, root, table, sinks.current_version(spark, root, table),
+                         layouts.INDEX_RANGES[table], layouts.INDEX_SKETCHES[table])
+
+    _layout_root(spark, sf_dir, table)
+    return _once(spark, sf_dir, "index", table, index)
 
-            def index(name):
-                build_file_index(spark, root, name, sinks.current_version(spark, root, name),
-                                 layouts.INDEX_RANGES[name], layouts.INDEX_SKETCHES[name])
 
-            def cluster(name):
-                clustering.write_clustered(_wide_cols(layouts.read_layout(spark, root, name), name), root, name)
+def _curve_root(spark, sf_dir, table) -> str:
+    """The layout of an order-grained ``table``, and the table along its curve with the index of that."""
+    def cluster(root):
+        clustering.write_clustered(_wide_cols(layouts.read_layout(spark, root, table), table), root, table)
 
-            with ThreadPoolExecutor(max_workers=5) as pool:
-                jobs = [pool.submit(index, n) for n in WIDE] + [pool.submit(cluster, n) for n in clustering.CURVES]
-                for fut in jobs:
-                    fut.result()
-            _LOOKUP_ROOTS[key] = root
-        return _LOOKUP_ROOTS[key]
+    _layout_root(spark, sf_dir, table)
+    return _once(spark, sf_dir, "curve", table, cluster)
 
 
 def _looked_up(spark, sf_dir, table, column, probe, clustered=False) -> DataFrame:
     stored = clustering.clustered_name(table) if clustered else table
-    return _wide_cols(lookup(spark, _lookup_root(spark, sf_dir), stored, column, probe), table)
+    root = (_curve_root if clustered else _index_root)(spark, sf_dir, table)
+    return _wide_cols(lookup(spark, root, stored, column, probe), table)
 
 
 def _laid_out(spark, sf_dir, table) -> DataFrame:
-    return layouts.read_layout(spark, _layout_root(spark, sf_dir), table)
+    return layouts.read_layout(spark, _layout_root(spark, sf_dir, table), table)
 
 
 def _wide_cols(df: DataFrame, table: str) -> DataFrame:
@@ -579,7 +578,7 @@ def q_fact_by_status(spark, sf_dir):
 @register("fact_by_state_city",
           f"SELECT * FROM w_fact WHERE state = '{LOOKUP_STATE}' AND city = '{LOOKUP_CITY}'")
 def q_fact_by_state_city(spark, sf_dir):
-    found = lookup_values(spark, _lookup_root(spark, sf_dir), clustering.clustered_name("sales_order_fact"),
+    found = lookup_values(spark, _curve_root(spark, sf_dir, "sales_order_fact"), clustering.clustered_name("sales_order_fact"),
                           {"state": [LOOKUP_STATE], "city": [LOOKUP_CITY]})
     return _wide_cols(found, "sales_order_fact")
 
