@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from widelines.plans import clustering, layouts, sinks
+from widelines.plans import clustering, file_index, layouts, sinks
 from widelines.plans.file_index import MAX_PROBE_KEYS, build_file_index, candidate_files, lookup, lookup_values
 
 FILES = 256
@@ -87,3 +87,29 @@ def test_ranks_and_curve(spark):
 
 def test_layouts_have_an_index(spark):
     assert set(layouts.INDEX_RANGES) == set(layouts.LAYOUTS) == set(layouts.INDEX_SKETCHES)
+
+
+def test_a_file_and_bucket_are_one_number(spark):
+    """The bitmaps are built by sorting: a value takes a few longs there, not its file's path."""
+    df = spark.createDataFrame([("a", 0), ("a", 5), ("b", 5)], "file string, bucket int")
+    at = [r[0] for r in df.select(file_index._block("file", F.col("bucket"))).collect()]
+    assert at[1] - at[0] == 5 and at[0] % (1 << file_index.BUCKET_BITS) == 0 and at[2] != at[1]
+
+
+def test_files_without_values_and_equal_files(spark, scratch):
+    rows = spark.createDataFrame([(1, "x"), (2, None), (3, "x"), (4, "y")], "order_id long, t string")
+    done = sinks.write_version(rows.repartitionByRange(4, "order_id"), scratch, "t")
+    build_file_index(spark, scratch, "t", done.version, ("order_id",), ("t",))
+    assert [len(candidate_files(spark, scratch, "t", done.version, "t", [k])) for k in ("x", "y", "z")] == [2, 1, 0]
+
+
+def test_rank_stays_small(spark):
+    """A tree of 63 comparisons a column makes methods that the JVM does not compile."""
+    df = spark.range(1).select(clustering.rank(F.col("id"), list(range(1, 64)), 6))
+    assert df._jdf.queryExecution().analyzed().toString().count(">") < 8
+
+
+def test_more_bytes_more_curve_files(monkeypatch):
+    for size, files in ((0, 64), (64 * clustering.FILE_BYTES, 64), (1000 * clustering.FILE_BYTES + 1, 1001)):
+        monkeypatch.setattr(clustering, "file_bytes", lambda df, size=size: size)
+        assert clustering.curve_files(None) == files

@@ -9,12 +9,13 @@ them skip most files.
 
 All of it is built-in expressions: the bucket bounds come from one
 ``percentile_approx`` aggregate (a fixed number of bounds a column, whatever
-the table's size), the rank is a tree of comparisons, the curve value a sum of
+the table's size), the rank is a binary search in them, the curve value a sum of
 shifted bits, and the rows are placed by ``repartitionByRange`` on that value.
 """
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterable
 
@@ -22,11 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from widelines.functions.joins import file_bytes
 from widelines.plans.file_index import build_file_index
 from widelines.plans.sinks import WriteResult, publish_version, write_version
 
 RANK_BITS = 6
 STRING_BYTES = 7  # of a text's sort key, after what all values begin with
+MIN_FILES = 64  # so that every column gets a few bits
+FILE_BYTES = 32 << 20  # of the stored table: what one task sorts stays a few hundred MB in memory
 
 #: Clustered tables: the wide table, its curve columns (with the number of rounds in which each gets a bit: the month
 #: layout serves dates already), and the key that spreads rows of one curve value.
@@ -73,14 +77,20 @@ def rank_bounds(df: DataFrame, keys: dict[str, Column], bits: int = RANK_BITS) -
 
 
 def rank(key: Column, bounds: list[int], bits: int = RANK_BITS) -> Column:
-    """How many bounds lie below the key, scaled to ``bits`` bits; NULL is 0.  A tree of comparisons."""
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low * 2 ** bits // (len(bounds) + 1)).cast("long")
-        mid = (low + high) // 2
-        return F.when(key > F.lit(bounds[mid]), tree(mid + 1, high)).otherwise(tree(low, mid))
+    """How many bounds lie below the key, scaled to ``bits`` bits; NULL is 0.  A binary search: the comparisons written
+    out make a method too long for the JVM to compile."""
+    if not bounds:
+        return F.lit(0).cast("long")
+    n = len(bounds)
+    places = F.lit([int(b) for b in bounds]).cast("array<bigint>")
+    steps = F.lit([1 << k for k in reversed(range(n.bit_length()))])
 
-    return F.coalesce(F.when(key.isNotNull(), tree(0, len(bounds))), F.lit(0).cast("long"))
+    def step(below: Column, width: Column) -> Column:
+        further = below + width
+        return F.when((further <= n) & (key > F.try_element_at(places, further)), further).otherwise(below)
+
+    below = F.aggregate(steps, F.lit(0), step)
+    return F.coalesce(F.when(key.isNotNull(), F.floor(below * 2 ** bits / (n + 1)).cast("long")), F.lit(0).cast("long"))
 
 
 def curve_value(ranks: list[Column], bits: int = RANK_BITS, every: list[int] | None = None) -> Column:
@@ -108,11 +118,17 @@ def along_curve(df: DataFrame, columns: dict[str, int], spread_by: tuple[str, ..
             .sortWithinPartitions("_curve", *columns, *spread_by).drop("_curve"))
 
 
-def write_clustered(df: DataFrame, root: str, table: str, files: int = 64, version: str | None = None,
+def curve_files(df: DataFrame) -> int:
+    """How many files a stored table is clustered into: as many as its bytes ask for."""
+    return max(MIN_FILES, math.ceil(file_bytes(df) / FILE_BYTES))
+
+
+def write_clustered(df: DataFrame, root: str, table: str, files: int | None = None, version: str | None = None,
                     publish: bool = True) -> WriteResult:
     """Store ``df`` (a stored table: it is read several times) along its curve as ``<table>_clustered``, with a
-    file index.  ``files``: the table's bytes / 256 MB, 64 at least, so that every column gets a few bits."""
+    file index.  ``files``: by default a share of the table's bytes (``curve_files``)."""
     columns, spread_by = CURVES[table]
+    files = files or curve_files(df)
     name = clustered_name(table)
     done = write_version(along_curve(df, columns, spread_by, files), root, name, version=version,
                          writer_options={"compression": "zstd"}, publish=False)

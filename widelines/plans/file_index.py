@@ -6,6 +6,9 @@ below ``<root>/_index/<table>/v=<version>``:
 * ``ranges``: a row per file with its row count and each column's min and max;
 * ``sketch_<column>``: per file a blocked Bloom filter of the column's values,
   as bitmaps of 4 KB built by ``bitmap_construct_agg``, about 16 bits a value.
+  That aggregate sorts its input, so a value is three numbers by then: a file
+  and bucket in one long, and its positions (the file's path is joined back to
+  the finished bitmaps).
 
 A lookup of at most ``MAX_PROBE_KEYS`` keys turns them into literals, filters
 the index rows (no join), and reads the remaining files only, with the keys
@@ -28,6 +31,7 @@ BITMAP_BITS = 32_768  # of bitmap_construct_agg
 BITS_PER_VALUE = 16
 HASHES = 2
 POSITION_BITS = 15
+BUCKET_BITS = 20
 
 
 def index_path(root: str, table: str, version: str) -> str:
@@ -54,6 +58,13 @@ def _bit(bitmap: Column, position: Column) -> Column:
     return F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
 
+def _block(file: Column | str, bucket: Column) -> Column:
+    """A file and bucket as one long.  Files whose hashes agree would share their bitmaps, which then hold the values of
+    both: lookups read a file too many, never one too few."""
+    place = F.lit(BUCKET_BITS)
+    return F.call_function("shiftleft", F.call_function("shiftright", F.xxhash64(file), place), place).bitwiseOR(bucket.cast("long"))
+
+
 def build_file_index(spark: SparkSession, root: str, table: str, version: str, ranges: tuple[str, ...],
                      sketches: tuple[str, ...] = ()) -> str:
     """Index a stored version: one pass for the ranges, one narrow pass for each sketched column."""
@@ -68,12 +79,18 @@ def build_file_index(spark: SparkSession, root: str, table: str, version: str, r
     stats = spark.read.parquet(f"{out}/ranges")
     most = stats.agg(*(F.coalesce(F.max(f"distinct_{c}"), F.lit(1)).alias(c) for c in sketches)).first() if sketches else None
     for c in sketches:
-        buckets = max(1, math.ceil(BITS_PER_VALUE * most[c] / BITMAP_BITS))
+        buckets = min(1 << BUCKET_BITS, max(1, math.ceil(BITS_PER_VALUE * most[c] / BITMAP_BITS)))
         placed = rows.where(F.col(c).isNotNull()).select("file", _places(c, F.lit(buckets)).alias("at"))
-        bits = placed.select("file", _part(F.col("at"), HASHES).cast("int").alias("bucket"),
-                             F.explode(F.array(*(_part(F.col("at"), k) for k in range(HASHES)))).alias("position"))
-        (bits.groupBy("file", "bucket").agg(F.bitmap_construct_agg("position").alias("bitmap"))
-         .withColumn("buckets", F.lit(buckets)).write.parquet(f"{out}/sketch_{c}"))
+        bits = placed.select(_block("file", _part(F.col("at"), HASHES)).alias("block"),
+                             *(_part(F.col("at"), k).alias(f"position_{k}") for k in range(HASHES)))
+        each = bits.groupBy("block").agg(*(F.bitmap_construct_agg(f"position_{k}").alias(f"bitmap_{k}") for k in range(HASHES)))
+        blocks = (each.select("block", F.explode(F.array(*(f"bitmap_{k}" for k in range(HASHES)))).alias("bitmap"))
+                  .groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap")))
+        files = stats.select("file", _block("file", F.lit(0)).alias("of"))  # a row per file
+        bucket = F.col("block").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1).cast("long"))
+        (blocks.withColumn("of", F.col("block") - bucket).join(F.broadcast(files), "of")
+         .select("file", bucket.cast("int").alias("bucket"), "bitmap", F.lit(buckets).alias("buckets"))
+         .write.parquet(f"{out}/sketch_{c}"))
     return out
 
 
