@@ -76,3 +76,10 @@ def test_top_services_nulls_first(spark):
 def test_half_up_rounding(spark, total, qty, expected):
     src = _src(spark, services=[svc("s", 1, qty, total=total)], parts=[])
     assert sales_order_line_items(src).first().unit_price == Decimal(expected)
+
+
+def test_lines_meet_their_orders_last(spark):
+    """With no side broadcast, the lines are shuffled while they are narrow: the invoice comes with the last join."""
+    plan = sales_order_line_items(_src(spark), max_broadcast_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "order_id" in joins[0] and "item_code" in joins[1]
