@@ -41,3 +41,9 @@ def test_values_that_swap_places_differ(spark):
     two = spark.createDataFrame([(1, "a", None), (2, "c", "b")], "k long, x string, y string")
     assert reports.differing_buckets(one, two, "k", 4).count() == 2
     assert reports.row_diff(one, two, "k", 4).where(F.col("side") == "left").count() == 2
+
+
+def test_rows_are_compared_in_one_pass(spark):
+    rows = spark.createDataFrame([(1, "a")], "k long, x string")
+    plan = reports.row_diff(rows, rows.limit(1), "k", 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2  # each side's candidate rows once, for both directions

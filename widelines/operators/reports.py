@@ -230,12 +230,16 @@ def row_diff(left: DataFrame, right: DataFrame, key: str, buckets: int = 4096) -
     aggregate a side, at most ``buckets`` rows); rows are shuffled and compared
     only in buckets whose digests differ.  More buckets make those smaller:
     about ten for each row expected to differ leave few equal rows to compare.
+    Both directions come from one signed count per row, so each side is read
+    and shuffled once for the comparison.
     """
     columns = left.columns
     right = right.select(*columns)
     differ = F.broadcast(differing_buckets(left, right, key, buckets))  # at most ``buckets`` rows of a long
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    a = left.join(differ, bucket == F.col("bucket"), "left_semi")
-    b = right.join(differ, bucket == F.col("bucket"), "left_semi")
-    return (a.exceptAll(b).withColumn("side", F.lit("left"))
-            .unionByName(b.exceptAll(a).withColumn("side", F.lit("right"))))
+    a, b = (df.join(differ, bucket == F.col("bucket"), "left_semi").withColumn("_more", F.lit(sign))
+            for df, sign in ((left, 1), (right, -1)))
+    more = F.col("_more")
+    return (a.unionByName(b).groupBy(*columns).agg(F.sum("_more").alias("_more")).where(more != 0)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.abs(more))))
+            .select(*columns, F.when(more > 0, "left").otherwise("right").alias("side")))
