@@ -113,3 +113,24 @@ def test_more_bytes_more_curve_files(monkeypatch):
     for size, files in ((0, 64), (64 * clustering.FILE_BYTES, 64), (1000 * clustering.FILE_BYTES + 1, 1001)):
         monkeypatch.setattr(clustering, "file_bytes", lambda df, size=size: size)
         assert clustering.curve_files(None) == files
+
+
+def test_ranges_of_texts_are_hashed_not_sorted(spark, scratch, monkeypatch):
+    """A sorting aggregate would hold every row of a task, with its file's path."""
+    plans = []
+    group_by = type(spark.range(1)).groupBy
+
+    class Seen:
+        def __init__(self, grouped):
+            self.grouped = grouped
+
+        def agg(self, *columns):
+            out = self.grouped.agg(*columns)
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "order_id long, t string")
+    done = sinks.write_version(rows, scratch, "t")
+    monkeypatch.setattr(type(rows), "groupBy", lambda df, *c: Seen(group_by(df, *c)))
+    build_file_index(spark, scratch, "t", done.version, ("order_id", "t"), ("t",))
+    assert "min(t" in plans[0] and "ObjectHashAggregate" in plans[0] and "SortAggregate" not in plans[0]
