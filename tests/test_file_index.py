@@ -115,8 +115,8 @@ def test_more_bytes_more_curve_files(monkeypatch):
         assert clustering.curve_files(None) == files
 
 
-def test_ranges_of_texts_are_hashed_not_sorted(spark, scratch, monkeypatch):
-    """A sorting aggregate would hold every row of a task, with its file's path."""
+def test_ranges_of_texts_are_sorted_by_a_number(spark, scratch, monkeypatch):
+    """The sort holds every row of a task: without its file's path."""
     plans = []
     group_by = type(spark.range(1)).groupBy
 
@@ -126,11 +126,13 @@ def test_ranges_of_texts_are_hashed_not_sorted(spark, scratch, monkeypatch):
 
         def agg(self, *columns):
             out = self.grouped.agg(*columns)
-            plans.append(out._jdf.queryExecution().executedPlan().toString())
+            plans.append(out.schema.fields[0].dataType.typeName())
             return out
 
     rows = spark.createDataFrame([(1, "x"), (2, None)], "order_id long, t string")
-    done = sinks.write_version(rows, scratch, "t")
+    done = sinks.write_version(rows.repartition(1), scratch, "t")
     monkeypatch.setattr(type(rows), "groupBy", lambda df, *c: Seen(group_by(df, *c)))
-    build_file_index(spark, scratch, "t", done.version, ("order_id", "t"), ("t",))
-    assert "min(t" in plans[0] and "ObjectHashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+    out = build_file_index(spark, scratch, "t", done.version, ("order_id", "t"), ("t",))
+    assert plans[0] == "long"
+    found = spark.read.parquet(f"{out}/ranges").select("rows", "lo_t", "hi_t", "lo_order_id", "hi_order_id", "distinct_t").collect()
+    assert [tuple(r) for r in found] == [(2, "x", "x", 1, 2, 1)]

@@ -71,15 +71,13 @@ def build_file_index(spark: SparkSession, root: str, table: str, version: str, r
     path = f"{root.rstrip('/')}/{table}/v={version}"
     out = index_path(root, table, version)
     rows = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
-
-    def distinct(c: str) -> Column:
-        """About how many values.  An aggregate on objects: with it the texts' ranges are hashed by file, not sorted."""
-        return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(F.col(c).isNotNull(), F.xxhash64(c))))
-
-    (rows.groupBy("file").agg(
+    # ranges of texts are found by sorting, too: rows carry a hash of their file (equal ones would share their ranges)
+    files = rows.select("file").distinct().select("file", F.xxhash64("file").alias("of"))
+    (rows.groupBy(F.xxhash64("file").alias("of")).agg(
         F.count(F.lit(1)).alias("rows"),
         *(f(c).alias(f"{k}_{c}") for c in ranges for k, f in (("lo", F.min), ("hi", F.max))),
-        *(distinct(c).alias(f"distinct_{c}") for c in sketches))
+        *(F.approx_count_distinct(c).alias(f"distinct_{c}") for c in sketches))
+     .join(F.broadcast(files), "of").drop("of")
      .write.parquet(f"{out}/ranges"))
     stats = spark.read.parquet(f"{out}/ranges")
     most = stats.agg(*(F.coalesce(F.max(f"distinct_{c}"), F.lit(1)).alias(c) for c in sketches)).first() if sketches else None
