@@ -110,6 +110,26 @@ def test_permutation_is_one_to_one(spark):
         assert sorted(r["p"] for r in got) == list(range(n))
 
 
+def test_only_blocks_of_the_draw_leave_their_texts(spark):
+    sizes = spark.createDataFrame([(False, "a", 64 * 90), (False, "b", 64 * 11 + 5), (False, "c", 64 * 70 + 1)],
+                                  "no_source boolean, source_key string, source_size long")
+    sources = mixing.with_slots(mixing.shares(sizes))
+    assert {r["passes"] for r in sources.collect()} >= {0, 3}
+    laid = sources.withColumn("text", F.expr("repeat('w ', int(source_size))")).selectExpr("*", "source_size AS size", "0L AS start")
+    drawn = {(r["rank"], r["block_no"]) for r in mixing.slots(sources).collect()}
+    rows = mixing.drawn_pieces(laid).collect()
+    assert {(r["rank"], r["block_no"]) for r in rows} == drawn and len(drawn) < 90 + 12 + 71
+    assert all(r["words"] == "w " * r["n"] and r["at"] == 0 for r in rows)
+
+
+def test_permutations_run_backwards(spark):
+    for n in (1, 2, 37, 1000):
+        back = mixing.permuted_from("p", f"{n}L", "5")
+        got = spark.range(n).select("id", mixing.permuted("id", f"{n}L", "5").alias("p")).selectExpr("id", f"{back} AS back").collect()
+        assert all(r["id"] == r["back"] for r in got)
+
+
+
 def test_deal_is_one_to_one_and_like_a_draw(spark):
     n, size = 200_000, 4096
     x, y = np.array(spark.range(n).select("id", mixing.dealt("id", f"{n}L")).collect()).T

@@ -47,11 +47,21 @@ def word_count(text: str = "text") -> Column:
 
 def permuted(x: str, n: str, seed: str) -> Column:
     """Image of ``x`` in a pseudorandom permutation of [0, n): swap-or-not. Arguments are SQL of bigints."""
+    return F.expr(_swap_or_not(x, n, seed))
+
+
+def permuted_from(x: str, n: str, seed: str) -> str:
+    """SQL of the number whose image ``permuted`` makes ``x``: each round undoes itself, so they are taken in reverse."""
+    return _swap_or_not(x, n, seed, back=True)
+
+
+def _swap_or_not(x: str, n: str, seed: str, back: bool = False) -> str:
+    rounds = f"sequence({ROUNDS - 1}L, 0L, -1L)" if back else f"sequence(0L, {ROUNDS - 1}L)"
     key = f"((({seed}) * 7919 + r * 1299709 + 12345) % {PRIME} * 48271 % {PRIME} * 69621 % {PRIME})"
     turn = f"(({key} * {PRIME} + {key} * 16807 % {PRIME}) % ({n}))"
     other = f"(({turn} + ({n}) - x) % ({n}))"
     coin = f"((greatest(x, {other}) % {PRIME} * 48271 + {key}) % {PRIME} * 69621 % {PRIME} div 1024 % 2)"
-    return F.expr(f"aggregate(sequence(0L, {ROUNDS - 1}L), {x}, (x, r) -> if({coin} = 1, {other}, x))")
+    return f"aggregate({rounds}, {x}, (x, r) -> if({coin} = 1, {other}, x))"
 
 
 def dealt(x: str, n: str) -> Column:
@@ -112,14 +122,16 @@ def slots(sources: DataFrame, block: int = BLOCK, per_shard: int = PER_SHARD, ba
                        F.expr(f"position % {per_shard}").alias("place"))
 
 
-def laid_out(docs: DataFrame, id_col: str, rows: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``docs`` (with ``size``, ``text_hash``, ``no_source``, ``source_key``) with ``start``: words of its source before it."""
+def laid_out(docs: DataFrame, id_col: str, rows: int, chunk_rows: int = CHUNK_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """``docs`` (with ``size``, ``text_hash``, ``no_source``, ``source_key``) with ``start``: words of its source before it.
+    ``sizes``: the same rows without their texts, from which the chunks' totals are taken."""
     n = max(1, math.ceil(rows / chunk_rows))
     key = F.expr(f"pmod(coalesce({id_col}, size), {PRIME}) * 48271 % {PRIME}")
-    docs = docs.withColumn("order_key", key).withColumn("chunk", F.expr(f"order_key * {n} div {PRIME}"))
+    docs, sizes = (d.withColumn("order_key", key).withColumn("chunk", F.expr(f"order_key * {n} div {PRIME}"))
+                   for d in (docs, docs if sizes is None else sizes))
     own = ["no_source", "source_key", "chunk"]
     before = Window.partitionBy(*own).orderBy("order_key", id_col, "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = docs.groupBy(*own).agg(F.sum("size").alias("chunk_size")).withColumn(
+    chunks = sizes.groupBy(*own).agg(F.sum("size").alias("chunk_size")).withColumn(
         "chunk_start", F.coalesce(F.sum("chunk_size").over(Window.partitionBy("no_source", "source_key").orderBy(
             "chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
     return (docs.withColumn("within", F.coalesce(F.sum("size").over(before), F.lit(0).cast("long")))
@@ -167,6 +179,23 @@ def _with_taken(placed: DataFrame, summed: DataFrame) -> DataFrame:
         "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
+def drawn_pieces(laid: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(rank, start, block_no, at, n, words) of the parts of ``laid`` texts that lie in blocks which a slot takes: all
+    where the source has a whole pass, else those that are the images of the last pass's first numbers. ``laid``: text,
+    size, start, and rank, blocks, passes, rest of the source."""
+    at = permuted_from("b", "blocks", "rank * 4 + passes")
+    laid = laid.withColumn("drawn", F.expr(
+        f"filter(sequence(start div {block}, (start + size - 1) div {block}), b -> passes > 0 or {at} * {block} < rest)"))
+    first, last = f"greatest(b * {block}, start)", f"least((b + 1) * {block}, start + size)"
+    # The words are an argument of the outer function, so that a text is cut once and not once per block.
+    cut = F.expr(
+        f"transform(array(regexp_extract_all(if(size(drawn) > 0, text, ''), '{SPACED_WORD}', 0)), w -> transform("
+        f"drawn, b -> named_struct('block_no', b, "
+        f"'at', {first} - b * {block}, 'n', {last} - {first}, "
+        f"'words', array_join(slice(w, int({first} - start + 1), int({last} - {first})), ''))))[0]".replace("\\", "\\\\"))
+    return laid.select("rank", "start", F.explode(cut).alias("piece")).select("rank", "start", "piece.*")
+
+
 def write_packed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK,
                  most: int = MOST, weights: tuple[int, ...] = WEIGHTS,
                  per_shard: int = PER_SHARD) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -178,15 +207,9 @@ def write_packed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", so
     sources, draw = _drawn(sized, block, most, weights, per_shard)
     rows = sized.count()
     placed = stored(laid_out(sized, "doc_id", rows).join(sources, names), "placed")
-    laid = laid_out(whole.where("size > 0"), "doc_id", rows).join(F.broadcast(sources.select(*names, "rank")), names)
-    first, last = f"greatest(b * {block}, start)", f"least((b + 1) * {block}, start + size)"
-    # The words are an argument of the outer function, so that a text is cut once and not once per block.
-    cut = F.expr(
-        f"transform(array(regexp_extract_all(text, '{SPACED_WORD}', 0)), w -> transform("
-        f"sequence(start div {block}, (start + size - 1) div {block}), b -> named_struct('block_no', b, "
-        f"'at', {first} - b * {block}, 'n', {last} - {first}, "
-        f"'words', array_join(slice(w, int({first} - start + 1), int({last} - {first})), ''))))[0]".replace("\\", "\\\\"))
-    pieces = laid.select("rank", "start", F.explode(cut).alias("piece")).select("rank", "start", "piece.*")
+    drawn_of = with_slots(sources, block, most).select(*names, "rank", "blocks", "passes", "rest")
+    laid = laid_out(whole.where("size > 0"), "doc_id", rows, sizes=sized).join(F.broadcast(drawn_of), names)
+    pieces = drawn_pieces(laid, block)
     taken = pieces.join(draw.withColumnRenamed("words", "limit"), ["rank", "block_no"]).where("at < limit")
     short = f"array_join(slice(regexp_extract_all(words, '{SPACED_WORD}', 0), 1, int(limit - at)), '')".replace("\\", "\\\\")
     taken = taken.withColumn("words", F.expr(f"if(at + n > limit, {short}, words)")).withColumn("n", F.expr("least(n, limit - at)"))
