@@ -145,13 +145,21 @@ def parts_demand(lines: DataFrame, catalog: DataFrame,
     service lines are summed per service first and only then joined to the
     catalog.  The join is (services x parts per service), independent of
     how many lines were sold.
+
+    Nearly every catalog row is a group of its own for the distinct count, so
+    rows are dealt by part before they are grouped: a map-side table of groups
+    would hold all rows of a task, beside those of the catalog's own grouping.
+    A part has at most one row per service.  The stated number of partitions
+    keeps AQE from merging them into few large ones.
     """
+    tasks = int(catalog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sold = (lines.where(F.col("line_item_type") == "SERVICE")
             .groupBy(F.col("item_code").alias("serviceid"))
             .agg(F.sum("quantity").alias("service_units"),
                  F.count(F.lit(1)).alias("service_lines")))
     need = catalog.select("serviceid", "sku", "part_name", "vendor", "parts_quantity_required")
     return (need.join(broadcast_if_bounded(sold, max_broadcast_rows), "serviceid")
+            .repartition(tasks, "sku")
             .groupBy("sku", "part_name", "vendor")
             .agg(F.sum(F.col("service_units") * F.col("parts_quantity_required"))
                  .alias("units_required"),
