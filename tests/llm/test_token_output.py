@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from widelines.llm import token_output
+from widelines.llm import token_codec, token_output
 
 
 def odd_texts(n, seed=3):
@@ -41,3 +42,24 @@ def test_ids_are_those_of_whole_texts(monkeypatch):
 def test_a_worker_keeps_its_encoder():
     path = public_tokenizers.path("word_bpe_49k.json")
     assert token_output.worker_encoder(path) is token_output.worker_encoder(path)
+
+
+def test_blocks_take_few_steps_and_stay_small():
+    """Work that each step does for the whole vocabulary is done at most 128 times for a block of usual size."""
+    rng = np.random.default_rng(5)
+    ids = np.minimum(rng.zipf(1.3, 1 << 18), 48_999)
+    assert token_codec._lanes(token_output.BLOCK_IDS)[1] <= 128
+    for n in (1, 2, 127, 128, 129, 5_000, 1 << 18):
+        data = token_codec.encode_block(ids[:n], 49_000)
+        assert np.array_equal(token_codec.decode_block(data), ids[:n])
+    assert len(data) < 1.5 * len(ids)
+
+
+def test_words_leave_lanes_that_are_settled_or_short():
+    rng = np.random.default_rng(6)
+    low, span = rng.integers(0, 2**64, (2, 4000), np.uint64)
+    span[::3] >>= np.uint64(40)
+    low[::5] = np.uint64(2**48 - 5)  # a carry is open
+    span[::5] = np.uint64(10)
+    want = [(int(a) ^ (int(a) + int(b)) % 2**64) < 2**48 or int(b) < 2**32 for a, b in zip(low, span)]
+    assert token_codec._due(low, span).tolist() == want

@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAGIC = b"CMRB"
 HEAD = "<4sIIII"
-STEPS = 256
+STEPS = 128
 MAX_LANES = 60_000
 TABLE_BITS = 18
 FLAG_BITS, ZERO_BITS = 12, 18
@@ -57,6 +57,7 @@ class Model:
         share = counts * free // counts.sum(axis=1, keepdims=True) + (counts > 0)
         share[:, 0] += (1 << FLAG_BITS) - share.sum(axis=1)
         self.share = share.astype(U)
+        self.start = np.cumsum(self.share, axis=1) - self.share
 
     def _refresh(self) -> None:
         free = (1 << ZERO_BITS) - self.vocabulary
@@ -95,6 +96,11 @@ def _lanes(n: int) -> tuple[int, int]:
     return -(-n // steps), steps
 
 
+def _due(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Lanes whose next word is settled, or whose span is too short to be divided further."""
+    return ((low ^ (low + span)) < TOP) | (span < BOTTOM)
+
+
 def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
     """``ids``: non-negative integers below ``vocabulary`` (at most 2**17)."""
     n = len(ids)
@@ -118,30 +124,25 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
         now, b1, b2 = table[step, :k], before1[:k], before2[:k]
         place, guess1, guess2, mixed = model.predict(b1, b2)
         outcome = model.outcome(now, guess1, guess2, mixed)
-        share = model.share[mixed]
-        start = np.where(outcome == 0, U(0), share[:, 0] + np.where(outcome == 2, share[:, 1], U(0)))
+        case = mixed * 3 + outcome
         part = span[:k] >> U(FLAG_BITS)
-        low[:k] += part * start
-        span[:k] = part * share[np.arange(k), outcome]
+        low[:k] += part * model.start.ravel()[case]
+        span[:k] = part * model.share.ravel()[case]
         rest = np.flatnonzero(outcome == 0)
         if len(rest):
             width = model.width[now[rest]]
             part = span[rest] >> U(ZERO_BITS)
             low[rest] += part * (model.upper[now[rest]] - width).astype(U)
             span[rest] = part * width.astype(U)
-        todo = np.arange(k)
-        while True:
+        todo = np.flatnonzero(_due(low[:k], span[:k]))
+        while len(todo):
             l, s = low[todo], span[todo]
-            settled = (l ^ (l + s)) < TOP
-            short = ~settled & (s < BOTTOM)
-            go = settled | short
-            if not go.any():
-                break
-            s = np.where(short, (U(0) - l) & (BOTTOM - U(1)), s)
-            todo, l, s = todo[go], l[go], s[go]
+            s = np.where((l ^ (l + s)) < TOP, s, (U(0) - l) & (BOTTOM - U(1)))
             out_lane.append(todo.astype(np.uint16))
             out_word.append((l >> U(48)).astype(np.uint16))
-            low[todo], span[todo] = l << U(16), s << U(16)
+            l, s = l << U(16), s << U(16)
+            low[todo], span[todo] = l, s
+            todo = todo[_due(l, s)]
         model.learn(now, b1, place, guess1, guess2, mixed, outcome)
         before2[:k], before1[:k] = b1, now
     for _ in range(4):
@@ -182,14 +183,12 @@ def decode_block(data: bytes) -> np.ndarray:
             break
         b1, b2 = before1[:k], before2[:k]
         place, guess1, guess2, mixed = model.predict(b1, b2)
-        share = model.share[mixed]
         part = span[:k] >> U(FLAG_BITS)
         value = np.minimum((code[:k] - low[:k]) // part, U((1 << FLAG_BITS) - 1))
-        one = share[:, 0] + share[:, 1]
-        outcome = (value >= share[:, 0]).astype(np.int64) + (value >= one)
-        start = np.where(outcome == 0, U(0), np.where(outcome == 1, share[:, 0], one))
-        low[:k] += part * start
-        span[:k] = part * share[np.arange(k), outcome]
+        outcome = (value >= model.start[:, 1][mixed]).astype(np.int64) + (value >= model.start[:, 2][mixed])
+        case = mixed * 3 + outcome
+        low[:k] += part * model.start.ravel()[case]
+        span[:k] = part * model.share.ravel()[case]
         now = np.where(outcome == 2, guess2, guess1)
         rest = np.flatnonzero(outcome == 0)
         if len(rest):
@@ -200,19 +199,15 @@ def decode_block(data: bytes) -> np.ndarray:
             low[rest] += part * (model.upper[found] - width).astype(U)
             span[rest] = part * width.astype(U)
             now[rest] = found
-        todo = np.arange(k)
-        while True:
+        todo = np.flatnonzero(_due(low[:k], span[:k]))
+        while len(todo):
             l, s = low[todo], span[todo]
-            settled = (l ^ (l + s)) < TOP
-            short = ~settled & (s < BOTTOM)
-            go = settled | short
-            if not go.any():
-                break
-            s = np.where(short, (U(0) - l) & (BOTTOM - U(1)), s)
-            todo, l, s = todo[go], l[go], s[go]
+            s = np.where((l ^ (l + s)) < TOP, s, (U(0) - l) & (BOTTOM - U(1)))
             code[todo] = (code[todo] << U(16)) | words[np.minimum(at[todo], len(words) - 1)]
             at[todo] += 1
-            low[todo], span[todo] = l << U(16), s << U(16)
+            l, s = l << U(16), s << U(16)
+            low[todo], span[todo] = l, s
+            todo = todo[_due(l, s)]
         table[step, :k] = now
         model.learn(now, b1, place, guess1, guess2, mixed, outcome)
         before2[:k], before1[:k] = b1, now
