@@ -63,3 +63,43 @@ def test_words_leave_lanes_that_are_settled_or_short():
     span[::5] = np.uint64(10)
     want = [(int(a) ^ (int(a) + int(b)) % 2**64) < 2**48 or int(b) < 2**32 for a, b in zip(low, span)]
     assert token_codec._due(low, span).tolist() == want
+
+
+def test_pieces_of_plain_parts():
+    """Signs after a letter are a piece of their own, letters of Latin-1 are lower-cased; the ids are the library's."""
+    parts = ["ÉTÉ!!!", "été", "Don't.,", "it's'", "x<|Y.", "a1.", "...", "Ünï_-", "a\x01b.", "x\x1cY", "ŁÓ.", "éT.", "\x01", "'S!",
+             "×A.", "µM,", "a B.", "ÀÿÞß%%%", "q.w?!", "<|endoftext|>"]
+    body, tail = token_output._pieces(pa.array(parts, pa.large_string()))
+    pairs = dict(zip(parts, zip(body.to_pylist(), tail.to_pylist())))
+    assert pairs["ÉTÉ!!!"] == ("été", "!!!") and pairs["Don't.,"] == ("don't", ".,") and pairs["q.w?!"] == ("q.w", "?!")
+    assert pairs["x<|Y."] == ("x<|Y.", "") and pairs["a1."] == ("a1.", "") and pairs["..."] == ("...", "")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), token_output.Encoder(path)
+    texts = [" ".join(parts), *parts, *(f"{p}{s}" for p in parts for s in ("", ".", "?!", "'s", "é"))]
+    for some in (texts[:1], texts[1:30], texts):
+        ids, _ = encoder.encode(pa.array(some, pa.string()))
+        want = library.encode_batch(some, add_special_tokens=False)
+        assert ids.tolist() == [i for x in want for i in (*x.ids, token_output.END)]
+
+
+def test_plain_pieces_are_encoded_together(monkeypatch):
+    path, seen = public_tokenizers.path("word_bpe_49k.json"), []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            seen.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **kw)
+
+    encoder = token_output.Encoder(path)
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    if hasattr(encoder, "plain"):
+        encoder.plain = Counting(encoder.plain)
+    words = [a + b + c for a in "abcdefgh" for b in "aeiou" for c in ("n", "s.", "T!", "é")]
+    encoder.encode(pa.array([" ".join(words)], pa.string()))
+    assert len(seen) <= len(words) // 16

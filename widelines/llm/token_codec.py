@@ -40,8 +40,8 @@ class Model:
 
     def __init__(self, vocabulary: int):
         self.vocabulary = vocabulary
-        self.next1, self.sure1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
-        self.next2, self.sure2 = np.zeros(1 << TABLE_BITS, np.int64), np.zeros(1 << TABLE_BITS, np.int64)
+        # an entry is LEVELS * the id predicted + the confidence
+        self.order1, self.order2 = np.zeros(vocabulary, np.int32), np.zeros(1 << TABLE_BITS, np.int32)
         self.outcomes = np.ones((LEVELS * LEVELS, 3), np.int64)
         self.seen = np.zeros(vocabulary, np.int64)
         self.steps = 0
@@ -64,25 +64,36 @@ class Model:
         share = 1 + self.seen * free // max(int(self.seen.sum()), 1)
         self.upper = np.cumsum(share)
         self.width = share
+        self.by_value = None
+
+    def found(self, value: np.ndarray) -> np.ndarray:
+        """The ids in whose share of the order-0 frequencies the values lie."""
+        if self.by_value is None:
+            self.by_value = np.full(1 << ZERO_BITS, self.vocabulary - 1, np.int32)
+            self.by_value[: self.upper[-1]] = np.repeat(np.arange(self.vocabulary, dtype=np.int32), self.width)
+        return self.by_value.take(value)
 
     def predict(self, before1: np.ndarray, before2: np.ndarray):
+        """(places in the order-2 table, entries of orders 1 and 2, ids they predict, index of the mixing table)."""
         place = ((before2 * 40_503 + before1 * 2_654_435_761) >> 7) & ((1 << TABLE_BITS) - 1)
-        guess1, sure1 = self.next1[before1], self.sure1[before1]
-        guess2, sure2 = self.next2[place], self.sure2[place]
-        mixed = sure2 * LEVELS + np.where((sure2 > 0) & (guess1 == guess2), 0, sure1)
-        return place, guess1, guess2, mixed
+        entry1, entry2 = self.order1.take(before1), self.order2.take(place)
+        guess1, guess2 = entry1 >> 3, entry2 >> 3
+        sure1, sure2 = entry1 & (LEVELS - 1), entry2 & (LEVELS - 1)
+        sure1[(sure2 > 0) & (guess1 == guess2)] = 0
+        return place, (entry1, entry2), guess1, guess2, sure2 * LEVELS + sure1
 
     def outcome(self, ids, guess1, guess2, mixed) -> np.ndarray:
         """2 or 1 for the order that predicted the id, 0 for neither."""
-        return np.where((mixed >= LEVELS) & (ids == guess2), 2, np.where((mixed % LEVELS > 0) & (ids == guess1), 1, 0))
-
-    def learn(self, ids, before1, place, guess1, guess2, mixed, outcome) -> None:
-        for index, guess, nexts, sures in ((before1, guess1, self.next1, self.sure1), (place, guess2, self.next2, self.sure2)):
-            sure = sures[index]
-            right = (guess == ids) & (sure > 0)
-            new = sure <= 1
-            sures[index] = np.where(right, np.minimum(sure + 1, LEVELS - 1), np.where(new, 1, sure >> 1))
-            nexts[index] = np.where(new, ids, guess)
+        second = (mixed >= LEVELS) & (ids == guess2)
+        return second * np.int32(2) + (~second & (mixed % LEVELS > 0) & (ids == guess1))
+
+    def learn(self, ids, before1, place, entries, mixed, outcome) -> None:
+        fresh = ids * LEVELS + 1
+        for index, entry, table in ((before1, entries[0], self.order1), (place, entries[1], self.order2)):
+            sure = entry & (LEVELS - 1)
+            right = ((entry >> 3) == ids) & (sure > 0)
+            table[index] = np.where(right, entry + (sure < LEVELS - 1),
+                                    np.where(sure <= 1, fresh, entry - sure + (sure >> 1)))
         self.outcomes += np.bincount(mixed * 3 + outcome, minlength=3 * LEVELS * LEVELS).reshape(-1, 3)
         self._weigh()
         self.seen += np.bincount(ids[outcome == 0], minlength=self.vocabulary)
@@ -122,7 +133,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
         if not k:
             break
         now, b1, b2 = table[step, :k], before1[:k], before2[:k]
-        place, guess1, guess2, mixed = model.predict(b1, b2)
+        place, entries, guess1, guess2, mixed = model.predict(b1, b2)
         outcome = model.outcome(now, guess1, guess2, mixed)
         case = mixed * 3 + outcome
         part = span[:k] >> U(FLAG_BITS)
@@ -143,7 +154,7 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
             l, s = l << U(16), s << U(16)
             low[todo], span[todo] = l, s
             todo = todo[_due(l, s)]
-        model.learn(now, b1, place, guess1, guess2, mixed, outcome)
+        model.learn(now, b1, place, entries, mixed, outcome)
         before2[:k], before1[:k] = b1, now
     for _ in range(4):
         out_lane.append(np.arange(lanes, dtype=np.uint16))
@@ -182,19 +193,19 @@ def decode_block(data: bytes) -> np.ndarray:
         if not k:
             break
         b1, b2 = before1[:k], before2[:k]
-        place, guess1, guess2, mixed = model.predict(b1, b2)
+        place, entries, guess1, guess2, mixed = model.predict(b1, b2)
         part = span[:k] >> U(FLAG_BITS)
         value = np.minimum((code[:k] - low[:k]) // part, U((1 << FLAG_BITS) - 1))
         outcome = (value >= model.start[:, 1][mixed]).astype(np.int64) + (value >= model.start[:, 2][mixed])
         case = mixed * 3 + outcome
         low[:k] += part * model.start.ravel()[case]
         span[:k] = part * model.share.ravel()[case]
-        now = np.where(outcome == 2, guess2, guess1)
+        now = np.where(outcome == 2, guess2, guess1).astype(np.int64)
         rest = np.flatnonzero(outcome == 0)
         if len(rest):
             part = span[rest] >> U(ZERO_BITS)
             value = np.minimum((code[rest] - low[rest]) // part, U((1 << ZERO_BITS) - 1)).astype(np.int64)
-            found = np.minimum(np.searchsorted(model.upper, value, "right"), vocabulary - 1)
+            found = model.found(value)
             width = model.width[found]
             low[rest] += part * (model.upper[found] - width).astype(U)
             span[rest] = part * width.astype(U)
@@ -209,7 +220,7 @@ def decode_block(data: bytes) -> np.ndarray:
             low[todo], span[todo] = l, s
             todo = todo[_due(l, s)]
         table[step, :k] = now
-        model.learn(now, b1, place, guess1, guess2, mixed, outcome)
+        model.learn(now, b1, place, entries, mixed, outcome)
         before2[:k], before1[:k] = b1, now
     ids = table.T.reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != check:

@@ -43,16 +43,29 @@ BLOCK_IDS = 1 << 20
 KEPT_PARTS = 4_000_000
 #: Texts tokenised at once: bounds the memory of a batch.
 SLICE_BYTES = 4 << 20
+#: Plain pieces that are encoded as one text.
+JOINED = 32
+#: Stands between joined pieces; no plain piece holds it.
+MARK = "\x01"
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_SIGNS_AT_END = r"[a-zß-öø-ÿ](?P<tail>[!-/:-@\[-`{-~]+)$"
 BLOCKS = "part long, block long, doc_ids array<long>, lengths array<long>, n_ids long, ids binary"
 
 
-def _pieces(part: str) -> tuple[str, str]:
-    """A part without blanks as two pieces whose ids are the part's: letters are split from a full stop or comma that
-    follows, and the tokenizer lower-cases (but its special tokens, in "<|", are told apart by case)."""
-    if not part.isascii() or "<|" in part:
-        return part, ""
-    part = part.lower()
-    return (part[:-1], part[-1]) if part[-1:] in (".", ",") and part[-2:-1].isalpha() else (part, "")
+def _pieces(parts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Parts without blanks as two pieces each (the second may be empty) whose ids are the part's: in plain parts the
+    signs at the end are split from a letter before them, and the tokenizer lower-cases."""
+    plain = _plain(parts)
+    lower = pc.if_else(plain, pc.utf8_lower(parts), parts)
+    tail = pc.struct_field(pc.extract_regex(pc.if_else(plain, lower, ""), _SIGNS_AT_END), "tail").fill_null("")
+    body = pc.utf8_rtrim(pc.if_else(pc.not_equal(tail, ""), lower, ""), characters=_SIGNS)
+    return pc.if_else(pc.not_equal(tail, ""), body, lower), tail.cast(pa.large_string())
+
+
+def _plain(parts: pa.Array) -> pa.Array:
+    """Parts of visible ASCII and Latin-1 letters: the tokenizer's normaliser changes but their case (of its special
+    tokens, in "<|", not even that)."""
+    return pc.and_not(pc.match_substring_regex(parts, "^[!-~À-ÖØ-öø-ÿ]*$"), pc.match_substring(parts, "<|"))
 
 
 def _hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -71,9 +84,11 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.mark = self.plain.encode(MARK, add_special_tokens=False).ids
         self.vocabulary = self.tokenizer.get_vocab_size()
         self._forget()
 
@@ -90,29 +105,51 @@ class Encoder:
         return np.where(known, at, -1)
 
     def _add(self, hashes: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
-        keys = np.concatenate([self.keys, hashes])
-        first = np.concatenate([self.first, np.cumsum(count) - count + len(self.flat)])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.first, self.count = keys[order], first[order], np.concatenate([self.count, count])[order]
+        order = np.argsort(hashes)
+        first = (np.cumsum(count) - count + len(self.flat))[order]
+        at = np.searchsorted(self.keys, hashes[order])
+        self.keys = np.insert(self.keys, at, hashes[order])
+        self.first, self.count = np.insert(self.first, at, first), np.insert(self.count, at, count[order])
         self.flat = np.concatenate([self.flat, flat])
 
-    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of plain lower-case pieces, many encoded as one text; None if the marks don't tell them apart."""
+        texts = [f" {MARK} ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
+        ids = [[*x.ids, *self.mark] for x in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids)))
+        ends = np.flatnonzero(flat == self.mark[0])
+        if len(self.mark) != 1 or len(ends) != len(pieces):
+            return None
+        return flat[flat != self.mark[0]], np.diff(ends, prepend=-1) - 1
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, ids of each piece)."""
+        found = self._joined(pieces.to_pylist()) if pc.all(_plain(pieces)).as_py() else None
+        if found is None:
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)]
+            count = np.fromiter(map(len, ids), np.int64, len(ids))
+            found = np.fromiter(chain.from_iterable(ids), np.int32, int(count.sum())), count
+        return found
+
+    def _learn(self, hashes: np.ndarray, parts: pa.Array) -> None:
         """Remember parts by the ids of their pieces, many of which are remembered from other parts."""
-        pairs = [_pieces(w) for w in parts]
-        pieces = np.array(list({p for pair in pairs for p in pair if p}), object)
-        made = _hashes(pa.array(pieces, pa.large_string()))[1]
-        unknown = np.flatnonzero(self._find(made) < 0)
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(list(pieces[unknown]), add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        self._add(made[unknown], count, np.fromiter(chain.from_iterable(found), np.int32, int(count.sum())))
-        place = dict(zip(pieces, self._find(made).tolist()))
-        at = np.array([[place.get(x, -1) for x in pair] for pair in pairs], np.int64).reshape(-1)
-        lengths = np.where(at < 0, 0, self.count[at])
-        begin = np.where(at < 0, 0, self.first[at])
-        flat = self.flat[np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+        pairs = [p.cast(pa.large_string()) for p in _pieces(parts)]
+        pieces = pc.unique(pa.concat_arrays(pairs))
+        full, made = _hashes(pieces)
+        unknown = self._find(made) < 0
+        plain = _plain(pieces).to_numpy(zero_copy_only=False)[full]
+        for some in (unknown & plain, unknown & ~plain):
+            flat, count = self._ids(pieces.take(pa.array(full[some])))
+            self._add(made[some], count, flat)
+        begin, lengths = np.zeros((len(parts), 2), np.int64), np.zeros((len(parts), 2), np.int64)
+        for k, column in enumerate(pairs):
+            full, made = _hashes(column)
+            at = self._find(made)
+            begin[full, k], lengths[full, k] = self.first[at], self.count[at]
         whole = self._find(hashes) < 0  # a part that is a piece itself is remembered by now
-        self._add(hashes[whole], lengths.reshape(-1, 2).sum(axis=1)[whole],
-                  flat[np.repeat(whole, lengths.reshape(-1, 2).sum(axis=1))])
+        begin, lengths, total = begin[whole].reshape(-1), lengths[whole].reshape(-1), lengths[whole].sum(axis=1)
+        flat = self.flat[np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+        self._add(hashes[whole], total, flat)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each ended by ``END``; ids of each text)."""
@@ -126,7 +163,7 @@ class Encoder:
             self._forget()
             new = np.arange(len(hashes))
         if len(new):
-            self._learn(hashes[new], kinds.take(pa.array(full[new])).to_pylist())
+            self._learn(hashes[new], kinds.take(pa.array(full[new])))
             at = self._find(hashes)
         first, count = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
         first[full], count[full] = self.first[at], self.count[at]
