@@ -116,3 +116,16 @@ def test_delta_plan_scans_touched_folders_only(spark, scratch):
     files = [f for f in moved.inputFiles() if "sales_order_fact" in f]
     assert files and all(re.search("order_month=4/", f) for f in files)
     assert _same(moved, sinks.read_current(spark, scratch, ROLLUPS))
+
+
+def test_recomputed_rows_are_written_once(spark, scratch, monkeypatch):
+    """The new version is the only place that a refresh writes wide rows to: none lie in a scratch table first."""
+    from widelines.streaming import incremental
+
+    _load(spark, scratch, _before(spark))
+    made = []
+    monkeypatch.setattr(incremental, "scratch_path", lambda session, label: made.append(label) or f"{scratch}/scratch/{label}")
+    refresh_partitions(spark, _after(spark), scratch, spark.createDataFrame(CHANGED, "order_id long"))
+    assert made == ["changed-orders"]
+    lines = sinks.read_current(spark, scratch, "sales_order_line_items", WIDE["sales_order_line_items"])
+    assert _same(lines, sales_order_line_items(_after(spark)))

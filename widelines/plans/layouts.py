@@ -125,11 +125,11 @@ def live_folders(store: publish_log.Store, table: str) -> dict[str, str]:
 
 
 def write_layout(df: DataFrame, root: str, table: str, version: str | None = None,
-                 publish: bool = True) -> WriteResult:
+                 publish: bool = True, append: bool = False) -> WriteResult:
     layout = LAYOUTS[table]
     return write_version(arrange(df, layout), root, table, version=version,
                          writer_options=writer_options(layout),
-                         partition_by=layout.partition_by, publish=publish)
+                         partition_by=layout.partition_by, publish=publish, append=append)
 
 
 def read_layout(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -77,8 +77,9 @@ class WriteResult:
 
 def write_version(df: DataFrame, root: str, table: str, version: str | None = None,
                   writer_options: dict[str, str] | None = None,
-                  partition_by: tuple[str, ...] = (), publish: bool = True) -> WriteResult:
-    """SNK-01/02: write ``df`` as a new version, then point ``_current`` at it.
+                  partition_by: tuple[str, ...] = (), publish: bool = True, append: bool = False) -> WriteResult:
+    """SNK-01/02: write ``df`` as a new version, then point ``_current`` at it.  ``append`` adds rows to a version that
+    is not published yet.
 
     The row count is observed during the write (``Observation``): no second
     pass over the data.
@@ -88,7 +89,7 @@ def write_version(df: DataFrame, root: str, table: str, version: str | None = No
     path = f"{root.rstrip('/')}/{table}/v={version}"
     obs = Observation(f"rows_{table}_{uuid.uuid4().hex[:6]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode("errorifexists").format("parquet")
+    w = observed.write.mode("append" if append else "errorifexists").format("parquet")
     for k, v in (writer_options or {}).items():
         w = w.option(k, v)
     if partition_by:

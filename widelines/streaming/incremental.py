@@ -20,7 +20,7 @@ from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_b
 from widelines.operators.fact import sales_order_fact
 from widelines.operators.line_items import sales_order_line_items
 from widelines.plans import publish_log
-from widelines.plans.layouts import LAYOUTS, live_folders, partition_name, stored_schema, with_parts, write_layout
+from widelines.plans.layouts import LAYOUTS, live_folders, partition_name, stored_schema, write_layout
 from widelines.plans.sinks import new_version, read_current, read_folders, write_version
 from widelines.session import scratch_path
 from widelines.sources.model import Sources
@@ -92,9 +92,9 @@ def refresh_partitions(spark: SparkSession, src: Sources, root: str, order_ids:
 
     Touched are the partitions that hold rows of the changed orders now and
     those of their recomputed rows.  The new content of the touched partitions
-    is written to a new version folder, and one record of the publish log
-    switches all tables (and a rollup state, see below): it lists the folder of every partition, new ones for
-    the touched (none for a partition that ends empty), the old ones for the
+    is written to a new version folder, recomputed rows first and once, then
+    the rows that stay, and one record of the publish log switches all tables
+    (and a rollup state, see below): it lists the folder of every partition, new ones for the touched (none for a partition that ends empty), the old ones for the
     rest.  Readers see the state before or after, never a mixture, and no file
     is overwritten.  Deleted orders must be among ``order_ids``; rows without a
     date have a partition of their own.  A live rollup state is moved on by the
@@ -110,25 +110,23 @@ def refresh_partitions(spark: SparkSession, src: Sources, root: str, order_ids:
         layout, schema = LAYOUTS[table], stored_schema(table)
         parts = list(layout.partition_by)
         folders = live_folders(store, table)
-        fresh_path = scratch_path(spark, f"recomputed-{table}")
-        with_parts(ORDER_TABLES[table](restrict(src, keys, max_broadcast_rows)), layout).write.parquet(fresh_path)
-        fresh = spark.read.parquet(fresh_path)
+        write_layout(ORDER_TABLES[table](restrict(src, keys, max_broadcast_rows)), root, table, version, publish=False)
+        written = publish_log.partition_folders(store, table, version, len(parts))
         held = (read_folders(spark, root, table, list(folders.values()), schema)
                 .join(keys, "order_id", "left_semi").select(partition_name(parts).alias("part")))
-        touched = {r["part"] for r in held.unionByName(fresh.select(partition_name(parts).alias("part"))).distinct().collect()}
-        kept = read_folders(spark, root, table, [f for p, f in folders.items() if p in touched], schema).join(
-            keys, "order_id", "left_anti")
-        rows = kept.unionByName(fresh.select(*kept.columns)).drop(*layout.derived)
-        write_layout(rows, root, table, version, publish=False)
+        touched = {r["part"] for r in held.distinct().collect()} | {f.split("/", 1)[1] for f in written}
+        stay = [f for p, f in folders.items() if p in touched]
+        if table == "sales_order_fact" and publish_log.latest(store, ROLLUPS) is not None:
+            old = read_folders(spark, root, table, stay, schema).join(keys, "order_id", "left_semi")
+            moved = apply_delta(read_current(spark, root, ROLLUPS), old, read_folders(spark, root, table, written, schema))
+            write_version(moved, root, ROLLUPS, version, publish=False)
+            entries.append(publish_log.Entry(ROLLUPS, version))
+        # after the rollups, which read the recomputed rows from the folders that these rows join
+        kept = read_folders(spark, root, table, stay, schema).join(keys, "order_id", "left_anti")
+        write_layout(kept.drop(*layout.derived), root, table, version, publish=False, append=True)
         written = {f.split("/", 1)[1]: f for f in publish_log.partition_folders(store, table, version, len(parts))}
         live = {p: f for p, f in folders.items() if p not in touched} | written
         entries.append(publish_log.Entry(table, version, sorted(live.values()), schema.json()))
         changed[table] = sorted(touched)
-        if table == "sales_order_fact" and publish_log.latest(store, ROLLUPS) is not None:
-            old = read_folders(spark, root, table, [f for p, f in folders.items() if p in touched], schema).join(
-                keys, "order_id", "left_semi")
-            moved = apply_delta(read_current(spark, root, ROLLUPS), old, fresh)
-            write_version(moved, root, ROLLUPS, version, publish=False)
-            entries.append(publish_log.Entry(ROLLUPS, version))
     publish_log.append(store, entries)
     return changed
