@@ -103,3 +103,69 @@ def test_plain_pieces_are_encoded_together(monkeypatch):
     words = [a + b + c for a in "abcdefgh" for b in "aeiou" for c in ("n", "s.", "T!", "é")]
     encoder.encode(pa.array([" ".join(words)], pa.string()))
     assert len(seen) <= len(words) // 16
+
+
+def test_letter_pieces_are_encoded_without_marks():
+    """The library gives out hardly more ids than the pieces have: none for marks between parts of letters."""
+    path, given = public_tokenizers.path("word_bpe_49k.json"), []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            made = self.tokenizer.encode_batch_fast(texts, **kw)
+            given.extend(i for x in made for i in x.ids)
+            return made
+
+    encoder, library = token_output.Encoder(path), Tokenizer.from_file(path)
+    for name, value in list(vars(encoder).items()):
+        if isinstance(value, Tokenizer):
+            setattr(encoder, name, Counting(value))
+    words = [a + b + c + d for a in "abcdefgh" for b in "aeiouéü" for c in "nstß" for d in ("", "ing", "ÿ", "E.")]
+    ids, _ = encoder.encode(pa.array([" ".join(words)], pa.string()))
+    assert ids.tolist() == [*library.encode(" ".join(words), add_special_tokens=False).ids, token_output.END]
+    assert len(given) < len(ids) + len(words) // 16
+
+
+def test_pieces_that_cannot_be_told_apart_are_encoded_one_by_one():
+    path, texts = public_tokenizers.path("word_bpe_49k.json"), odd_texts(300, seed=8)
+    library, encoder = Tokenizer.from_file(path), token_output.Encoder(path)
+    encoder.last[:], encoder.mark = False, [*encoder.mark, *encoder.mark]  # as with a vocabulary that has neither
+    ids, _ = encoder.encode(pa.array(texts, pa.string()))
+    want = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert ids.tolist() == [i for x in want for i in (*x.ids, token_output.END)]
+
+
+def test_memory_finds_what_was_added():
+    """Through growth, and with fingerprints that name the same slot; what is added costs no copy of the rest."""
+    rng, memory, want = np.random.default_rng(9), token_output.Memory(), {}
+    for k in range(40):
+        same_slot = rng.integers(0, 2**20, 9, np.uint64) << np.uint64(40)
+        prints = np.unique(np.concatenate([rng.integers(0, 2**63, 300, np.uint64), same_slot]))
+        prints = prints[memory.find(prints) < 0]
+        count = rng.integers(0, 4, len(prints))
+        flat = rng.integers(0, 49_000, int(count.sum())).astype(np.int32)
+        entries = memory.add(prints, count, flat)
+        for p, e, ids in zip(prints.tolist(), entries.tolist(), np.split(flat, np.cumsum(count)[:-1])):
+            want[p] = (e, ids.tolist())
+    found = memory.find(np.array([*want], np.uint64))
+    flat, count = memory.ids(found)
+    assert found.tolist() == [e for e, _ in want.values()] and len(memory) == len(want) + 2
+    assert [x.tolist() for x in np.split(flat, np.cumsum(count)[:-1])] == [ids for _, ids in want.values()]
+    assert (memory.find(rng.integers(2**63, 2**64, 1000, np.uint64)) < 0).all()
+    kept = memory.flat
+    memory.add(np.array([2**63 + 5], np.uint64), np.array([1]), np.array([7], np.int32))
+    assert memory.flat is kept or len(memory.flat) >= len(kept) * 3 // 2
+
+
+def test_documents_are_read_with_and_without_ids(spark):
+    rows = [(k, t) for k, t in enumerate(odd_texts(60, seed=4))]
+    blocks = token_output.write_blocks(spark.createDataFrame(rows, "doc_id long, text string"), ranges=3, block_ids=50)
+    whole, digests = token_output.read_documents(blocks), token_output.read_documents(blocks, with_ids=False)
+    assert whole.columns == [*digests.columns, "ids"]
+    assert sorted(map(tuple, whole.drop("ids").collect())) == sorted(map(tuple, digests.collect()))
+    assert all(len(r["ids"]) == r["n_tokens"] for r in whole.collect())

@@ -64,7 +64,7 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = token_output.write_blocks(table(spark, sf_dir, "documents"))
-    return token_output.read_documents(blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_output.read_documents(blocks, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:

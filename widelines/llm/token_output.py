@@ -8,7 +8,8 @@ block.
 
 Tokenising. The vocabulary never joins text across white space, so a text's ids are the ids of its parts between
 ASCII blanks; every different part is encoded by the tokenizers library once per worker process, which remembers parts
-by 64-bit fingerprints from batch to batch and task to task.
+by 64-bit fingerprints from batch to batch and task to task. Parts of lower-case letters alone are one word to the
+vocabulary and are encoded many at a time, told apart by the ids that only end a word; other plain parts by a mark.
 
 Defined results: null and empty texts have the end id only; null doc_ids come first; rows of one doc_id are ordered by
 text (null first) and each is written; an empty table gives an empty result.
@@ -44,11 +45,12 @@ KEPT_PARTS = 4_000_000
 #: Texts tokenised at once: bounds the memory of a batch.
 SLICE_BYTES = 4 << 20
 #: Plain pieces that are encoded as one text.
-JOINED = 32
-#: Stands between joined pieces; no plain piece holds it.
+JOINED = 64
+#: Stands between joined pieces that are not all letters; no plain piece holds it.
 MARK = "\x01"
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SIGNS_AT_END = r"[a-zß-öø-ÿ](?P<tail>[!-/:-@\[-`{-~]+)$"
+_LETTERS = "^[a-zß-öø-ÿ]+$"
 BLOCKS = "part long, block long, doc_ids array<long>, lengths array<long>, n_ids long, ids binary"
 
 
@@ -79,100 +81,191 @@ def _hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return full, span_hashes(data, bounds[:-1][full], bounds[1:][full])
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """``array`` with room for ``size`` items, by half as many again at least, so that adding costs what is added."""
+    if size <= len(array):
+        return array
+    more = np.empty(max(size, len(array) * 3 // 2), array.dtype)
+    more[: len(array)] = array
+    return more
+
+
+class Memory:
+    """Token ids of strings by their fingerprints. An entry's number is its place in the order of adding; number 0 is
+    the empty string and 1 a text's end, both without a fingerprint. The numbers are found in a table of twice as many
+    slots or more: from the slot that the fingerprint names, up to the next free one."""
+
+    def __init__(self):
+        self.n, self.slots = 0, np.full(1 << 12, -1, np.int32)
+        self.prints, self.bounds, self.flat = np.zeros(16, np.uint64), np.zeros(16, np.int64), np.zeros(16, np.int32)
+        self._append(np.zeros(2, np.uint64), np.array([0, 1]), np.array([END], np.int32))
+
+    def __len__(self) -> int:
+        return self.n
+
+    def _append(self, prints: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
+        n, size = self.n + len(prints), int(self.bounds[self.n])
+        self.prints, self.bounds = _grown(self.prints, n), _grown(self.bounds, n + 1)
+        self.flat = _grown(self.flat, size + len(flat))
+        self.prints[self.n : n], self.flat[size : size + len(flat)] = prints, flat
+        self.bounds[self.n + 1 : n + 1] = size + np.cumsum(count)
+        self.n = n
+
+    def _place(self, first: int) -> None:
+        """Put the entries from ``first`` on into the table."""
+        mask = len(self.slots) - 1
+        todo = np.arange(first, self.n, dtype=np.int32)
+        slot = (self.prints[first : self.n] & np.uint64(mask)).astype(np.int64)
+        while len(todo):
+            free = self.slots.take(slot) < 0
+            self.slots[slot[free]] = todo[free]
+            lost = self.slots.take(slot) != todo
+            todo, slot = todo[lost], (slot[lost] + 1) & mask
+
+    def find(self, prints: np.ndarray) -> np.ndarray:
+        """Numbers of the entries with these fingerprints, or -1."""
+        found, mask = np.full(len(prints), -1, np.int64), len(self.slots) - 1
+        todo, slot = np.arange(len(prints)), (prints & np.uint64(mask)).astype(np.int64)
+        while len(todo):
+            entry = self.slots.take(slot)
+            used = entry >= 0
+            hit = used & (self.prints.take(entry, mode="clip") == prints.take(todo))
+            found[todo[hit]] = entry[hit]
+            on = used & ~hit
+            todo, slot = todo[on], (slot[on] + 1) & mask
+        return found
+
+    def add(self, prints: np.ndarray, count: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Remember strings that are different and not known yet, by the number of their ids and these in a row;
+        returns their numbers."""
+        first = self.n
+        self._append(prints, count, flat)
+        if 2 * self.n > len(self.slots):
+            self.slots, first_placed = np.full(1 << (2 * self.n).bit_length(), -1, np.int32), 2
+        else:
+            first_placed = first
+        self._place(first_placed)
+        return np.arange(first, self.n)
+
+    def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all entries in a row, ids of each)."""
+        first = self.bounds.take(entries)
+        count = self.bounds.take(entries + 1) - first
+        return self.flat.take(np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))), count
+
+
 class Encoder:
-    """Ids of whole texts, through a memory of parts: sorted fingerprints of the parts, and their ids in a row."""
+    """Ids of whole texts, through a memory of parts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        self.tokenizer, self.plain, self.letters = (Tokenizer.from_file(path) for _ in range(3))
+        self.plain.normalizer = self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.mark = self.plain.encode(MARK, add_special_tokens=False).ids
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
-
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        """Where each part is remembered, or -1."""
-        at = np.searchsorted(self.keys, hashes)
-        known = np.zeros(len(hashes), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == hashes[inside]
-        return np.where(known, at, -1)
-
-    def _add(self, hashes: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
-        order = np.argsort(hashes)
-        first = (np.cumsum(count) - count + len(self.flat))[order]
-        at = np.searchsorted(self.keys, hashes[order])
-        self.keys = np.insert(self.keys, at, hashes[order])
-        self.first, self.count = np.insert(self.first, at, first), np.insert(self.count, at, count[order])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of plain lower-case pieces, many encoded as one text; None if the marks don't tell them apart."""
-        texts = [f" {MARK} ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
-        ids = [[*x.ids, *self.mark] for x in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids)))
+        self.last = np.zeros(self.vocabulary, bool)  # ids that only the end of a word has
+        if suffix := getattr(self.tokenizer.model, "end_of_word_suffix", None):
+            for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                self.last[number] = token.endswith(suffix)
+        self.memory = Memory()
+
+    @property
+    def keys(self) -> np.ndarray:
+        """Fingerprints of what is remembered."""
+        return self.memory.prints[2 : self.memory.n]
+
+    def _together(self, tokenizer, pieces: pa.Array, between: str, end: str) -> np.ndarray:
+        """Ids of pieces, many encoded as one text."""
+        some = pa.ListArray.from_arrays(pa.array([*range(0, len(pieces), JOINED), len(pieces)], pa.int32()), pieces)
+        texts = pc.binary_join(some, pa.scalar(between, pieces.type)).to_pylist()
+        ids = [x.ids for x in tokenizer.encode_batch_fast([t + end for t in texts], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids)))
+
+    def _of_letters(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, ids of each piece) of pieces of lower-case letters, each one word to the tokenizer; None if the ends
+        of words don't tell them apart."""
+        flat = self._together(self.letters, pieces, " ", "")
+        ends = np.flatnonzero(self.last[flat])
+        if len(ends) != len(pieces) or ends[-1] != len(flat) - 1:
+            return None
+        return flat, np.diff(ends, prepend=-1)
+
+    def _of_signs(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same of any plain lower-case pieces; None if the marks don't tell them apart."""
+        flat = self._together(self.plain, pieces, f" {MARK} ", f" {MARK}")
         ends = np.flatnonzero(flat == self.mark[0])
         if len(self.mark) != 1 or len(ends) != len(pieces):
             return None
         return flat[flat != self.mark[0]], np.diff(ends, prepend=-1) - 1
 
-    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all pieces, ids of each piece)."""
-        found = self._joined(pieces.to_pylist()) if pc.all(_plain(pieces)).as_py() else None
-        if found is None:
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)]
-            count = np.fromiter(map(len, ids), np.int64, len(ids))
-            found = np.fromiter(chain.from_iterable(ids), np.int32, int(count.sum())), count
-        return found
+    def _one_by_one(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(count.sum())), count
 
-    def _learn(self, hashes: np.ndarray, parts: pa.Array) -> None:
+    def _pieces_entries(self, pieces: pa.Array) -> np.ndarray:
+        """Entries of different pieces; those not known are encoded and remembered."""
+        full, prints = _hashes(pieces)
+        at = self.memory.find(prints)
+        new = np.flatnonzero(at < 0)
+        unknown = pieces.take(pa.array(full[new]))
+        letters = pc.match_substring_regex(unknown, _LETTERS)
+        plain = pc.and_not(_plain(unknown), letters)
+        other = pc.invert(pc.or_(letters, plain))
+        for some, encode in ((letters, self._of_letters), (plain, self._of_signs), (other, self._one_by_one)):
+            if pc.any(some).as_py():
+                chosen = unknown.filter(some)
+                flat, count = encode(chosen) or self._one_by_one(chosen)
+                where = new[some.to_numpy(zero_copy_only=False)]
+                at[where] = self.memory.add(prints[where], count, flat)
+        entries = np.zeros(len(pieces), np.int64)
+        entries[full] = at
+        return entries
+
+    def _learn(self, prints: np.ndarray, parts: pa.Array) -> np.ndarray:
         """Remember parts by the ids of their pieces, many of which are remembered from other parts."""
-        pairs = [p.cast(pa.large_string()) for p in _pieces(parts)]
-        pieces = pc.unique(pa.concat_arrays(pairs))
-        full, made = _hashes(pieces)
-        unknown = self._find(made) < 0
-        plain = _plain(pieces).to_numpy(zero_copy_only=False)[full]
-        for some in (unknown & plain, unknown & ~plain):
-            flat, count = self._ids(pieces.take(pa.array(full[some])))
-            self._add(made[some], count, flat)
-        begin, lengths = np.zeros((len(parts), 2), np.int64), np.zeros((len(parts), 2), np.int64)
-        for k, column in enumerate(pairs):
-            full, made = _hashes(column)
-            at = self._find(made)
-            begin[full, k], lengths[full, k] = self.first[at], self.count[at]
-        whole = self._find(hashes) < 0  # a part that is a piece itself is remembered by now
-        begin, lengths, total = begin[whole].reshape(-1), lengths[whole].reshape(-1), lengths[whole].sum(axis=1)
-        flat = self.flat[np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
-        self._add(hashes[whole], total, flat)
+        body, tail = (p.cast(pa.large_string()) for p in _pieces(parts))
+        pieces = pa.concat_arrays([body, tail]).dictionary_encode()
+        pairs = self._pieces_entries(pieces.dictionary)[pieces.indices.to_numpy()].reshape(2, -1)
+        made = pc.or_(pc.not_equal(body, parts), pc.not_equal(tail, "")).to_numpy(zero_copy_only=False)
+        flat, count = self.memory.ids(pairs[:, made].T.reshape(-1))
+        entries = pairs[0].copy()  # a part that is a piece itself is remembered by now
+        entries[made] = self.memory.add(prints[made], count.reshape(-1, 2).sum(axis=1), flat)
+        return entries
+
+    def _parts_entries(self, parts: pa.Array) -> np.ndarray:
+        """Entries of different parts."""
+        full, prints = _hashes(parts)
+        at = self.memory.find(prints)
+        new = np.flatnonzero(at < 0)
+        if len(self.memory) + len(new) > KEPT_PARTS:
+            self.memory = Memory()
+            new = np.arange(len(prints))
+        if len(new):
+            at[new] = self._learn(prints[new], parts.take(pa.array(full[new])))
+        entries = np.zeros(len(parts), np.int64)
+        entries[full] = at
+        return entries
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each ended by ``END``; ids of each text)."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = split.flatten().dictionary_encode()
-        kinds = words.dictionary.cast(pa.large_string())
-        full, hashes = _hashes(kinds)
-        at = self._find(hashes)
-        new = np.flatnonzero(at < 0)
-        if len(self.keys) + len(new) > KEPT_PARTS:
-            self._forget()
-            new = np.arange(len(hashes))
-        if len(new):
-            self._learn(hashes[new], kinds.take(pa.array(full[new])))
-            at = self._find(hashes)
-        first, count = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
-        first[full], count[full] = self.first[at], self.count[at]
-        kind = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        counts = count[kind]
-        out = self.flat[np.repeat(first[kind] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))]
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]
-        per_text = np.diff(np.concatenate([[0], ends])) + 1
-        return np.insert(out, ends, END), per_text
+        entries = self._parts_entries(words.dictionary.cast(pa.large_string()))
+        # the ids of each kind of word as a byte string, and of a text's end as one more kind: Arrow lines them up
+        flat, count = self.memory.ids(np.append(entries, 1))
+        bounds = np.concatenate([[0], np.cumsum(count)]) * flat.itemsize
+        kinds = pa.Array.from_buffers(pa.large_binary(), len(count), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
+        ends = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        order = np.insert(words.indices.to_numpy(zero_copy_only=False), ends, len(entries))
+        _, bounds, data = kinds.take(pa.array(order)).buffers()
+        bounds = np.frombuffer(bounds, np.int64)[: len(order) + 1] // flat.itemsize
+        ids = np.frombuffer(data or b"", flat.dtype)[: bounds[-1]]
+        return ids, np.diff(bounds[ends + np.arange(1, len(ends) + 1)], prepend=0)
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -243,8 +336,9 @@ def block_starts(blocks: DataFrame) -> DataFrame:
     return blocks.join(starts, ["part", "block"])
 
 
-def read_documents(blocks: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of each document, decoded from its block and checked."""
+def read_documents(blocks: DataFrame, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of each document, decoded from its block and checked; without
+    ``with_ids`` all but the ids, which then needn't leave the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,12 +349,13 @@ def read_documents(blocks: DataFrame) -> DataFrame:
                 if ends[-1] != len(ids):
                     raise ValueError("a block's documents do not add up to its ids")
                 raw = ids.astype("<u4")
-                crc = [zlib.crc32(raw[e - n : e].tobytes()) for e, n in zip(ends, lengths)]
-                bounds = pa.array(np.concatenate([[0], ends]), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [docs.values, pa.array(start.as_py() + ends - lengths), pa.array(lengths),
-                     pa.array(crc, pa.int64()), pa.ListArray.from_arrays(bounds, pa.array(ids.astype(np.int32)))],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                crc = [zlib.crc32(raw[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist())]
+                columns = {"doc_id": docs.values, "start": pa.array(start.as_py() + ends - lengths),
+                           "n_tokens": pa.array(lengths), "ids_crc32": pa.array(crc, pa.int64())}
+                if with_ids:
+                    bounds = pa.array(np.concatenate([[0], ends]), pa.int32())
+                    columns["ids"] = pa.ListArray.from_arrays(bounds, pa.array(ids))
+                yield pa.RecordBatch.from_pydict(columns)
 
     found = block_starts(blocks).select("doc_ids", "lengths", "start", "ids")
-    return found.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
+    return found.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
