@@ -13,7 +13,8 @@ below ``<root>/_index/<table>/v=<version>``:
 A lookup of at most ``MAX_PROBE_KEYS`` keys turns them into literals, filters
 the index rows (no join), and reads the remaining files only, with the keys
 pushed into the scan.  Larger probes touch most files anyway: they read the
-whole version with a semi join.
+whole version with a semi join, which shuffles the rows that may match
+(``functions.keysets``).
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widelines.plans.sinks import current_version
+from widelines.functions.keysets import KeySet
+from widelines.plans.sinks import current_version, freed_shuffles
 
 MAX_PROBE_KEYS = 1000
 BITMAP_BITS = 32_768  # of bitmap_construct_agg
@@ -68,6 +70,12 @@ def _block(file: Column | str, bucket: Column) -> Column:
 def build_file_index(spark: SparkSession, root: str, table: str, version: str, ranges: tuple[str, ...],
                      sketches: tuple[str, ...] = ()) -> str:
     """Index a stored version: one pass for the ranges, one narrow pass for each sketched column."""
+    with freed_shuffles(spark):
+        return _build_file_index(spark, root, table, version, ranges, sketches)
+
+
+def _build_file_index(spark: SparkSession, root: str, table: str, version: str, ranges: tuple[str, ...],
+                      sketches: tuple[str, ...]) -> str:
     path = f"{root.rstrip('/')}/{table}/v={version}"
     out = index_path(root, table, version)
     rows = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
@@ -155,6 +163,6 @@ def lookup(spark: SparkSession, root: str, table: str, column: str, probe: DataF
     if keys is None or len(keys) > MAX_PROBE_KEYS:
         whole = spark.read.parquet(f"{root.rstrip('/')}/{table}/v={version}")
         wanted = spark.createDataFrame([(k,) for k in keys], [column]) if keys is not None else probe.select(column)
-        return whole.join(wanted.where(F.col(column).isNotNull()).distinct(), column, "left_semi").select(*whole.columns)
+        return KeySet(wanted, column).semi(whole)
     files = candidate_files(spark, root, table, version, column, keys)
     return read_files(spark, root, table, version, files).where(F.col(column).isin(keys))
