@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from widelines.functions.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from widelines.functions.keysets import KeySet
 from widelines.operators.fact import sales_order_fact
 from widelines.operators.line_items import sales_order_line_items
 from widelines.plans import publish_log
@@ -42,11 +43,14 @@ def changed_since(src: Sources, since: _dt.datetime) -> DataFrame:
 def restrict(src: Sources, order_ids: DataFrame,
              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Sources:
     """The sources cut down to the given orders (catalogs untouched)."""
-    keys = broadcast_if_bounded(order_ids.select("order_id").distinct(), max_broadcast_rows)
+    return _restricted(src, KeySet(order_ids, "order_id", max_broadcast_rows))
+
+
+def _restricted(src: Sources, keys: KeySet) -> Sources:
     return src.with_tables(
-        sales_order=src.sales_order.join(keys, "order_id", "left_semi"),
-        sales_order_parts=src.sales_order_parts.join(keys, "order_id", "left_semi"),
-        sales_order_services=src.sales_order_services.join(keys, "order_id", "left_semi"),
+        sales_order=keys.semi(src.sales_order),
+        sales_order_parts=keys.semi(src.sales_order_parts),
+        sales_order_services=keys.semi(src.sales_order_services),
     )
 
 
@@ -104,25 +108,25 @@ def refresh_partitions(spark: SparkSession, src: Sources, root: str, order_ids:
     store, version = publish_log.Store(spark, root), new_version()
     keys_path = scratch_path(spark, "changed-orders")
     order_ids.select("order_id").where("order_id is not null").distinct().write.parquet(keys_path)
-    keys = spark.read.parquet(keys_path)
+    keys = KeySet(spark.read.parquet(keys_path), "order_id", max_broadcast_rows)
     changed, entries = {}, []
     for table in tables:
         layout, schema = LAYOUTS[table], stored_schema(table)
         parts = list(layout.partition_by)
         folders = live_folders(store, table)
-        write_layout(ORDER_TABLES[table](restrict(src, keys, max_broadcast_rows)), root, table, version, publish=False)
+        write_layout(ORDER_TABLES[table](_restricted(src, keys)), root, table, version, publish=False)
         written = publish_log.partition_folders(store, table, version, len(parts))
-        held = (read_folders(spark, root, table, list(folders.values()), schema)
-                .join(keys, "order_id", "left_semi").select(partition_name(parts).alias("part")))
+        held = keys.semi(read_folders(spark, root, table, list(folders.values()), schema).select("order_id", *parts)
+                         ).select(partition_name(parts).alias("part"))
         touched = {r["part"] for r in held.distinct().collect()} | {f.split("/", 1)[1] for f in written}
         stay = [f for p, f in folders.items() if p in touched]
         if table == "sales_order_fact" and publish_log.latest(store, ROLLUPS) is not None:
-            old = read_folders(spark, root, table, stay, schema).join(keys, "order_id", "left_semi")
+            old = keys.semi(read_folders(spark, root, table, stay, schema))
             moved = apply_delta(read_current(spark, root, ROLLUPS), old, read_folders(spark, root, table, written, schema))
             write_version(moved, root, ROLLUPS, version, publish=False)
             entries.append(publish_log.Entry(ROLLUPS, version))
         # after the rollups, which read the recomputed rows from the folders that these rows join
-        kept = read_folders(spark, root, table, stay, schema).join(keys, "order_id", "left_anti")
+        kept = keys.anti(read_folders(spark, root, table, stay, schema))
         write_layout(kept.drop(*layout.derived), root, table, version, publish=False, append=True)
         written = {f.split("/", 1)[1]: f for f in publish_log.partition_folders(store, table, version, len(parts))}
         live = {p: f for p, f in folders.items() if p not in touched} | written
